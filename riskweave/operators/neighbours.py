@@ -40,6 +40,12 @@ class _Layout:
     rows: np.ndarray
     first_id: np.ndarray  # block ids of ring i are first_id[i] .. first_id[i] + parts[i] - 1
 
+    def filled(self, needed: int) -> np.ndarray:
+        """Per cell with enough points: the first ring up to which it holds `needed` of them."""
+        upto = pd.Series(self.rows).groupby(self.cell).cumsum().to_numpy()
+        enough = np.flatnonzero(upto >= needed)
+        return enough[np.unique(self.cell[enough], return_index=True)[1]]
+
 
 def _to_pivots(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Distances, one column per pivot."""
@@ -90,25 +96,19 @@ def _layout(placed: DataFrame, pivots: np.ndarray, block_rows: int, total: int)
     return layout, blocks
 
 
-def _reach(layout: _Layout, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _reach(layout: _Layout, between: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per query: lower bound of the distance to each ring, and an upper bound of the k-th distance."""
     d = _to_pivots(x, layout.pivots)
+    rows = np.arange(len(x))
     own = d.argmin(axis=1)
-    between = _to_pivots(layout.pivots, layout.pivots)
-    least = np.zeros((len(x), len(layout.cell)))
-    upper = np.full(len(x), np.inf)
-    for i, c in enumerate(layout.cell):
-        gap = np.maximum(d[:, c] - layout.high[i], layout.low[i] - d[:, c])
-        apart = between[own, c]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = np.where(apart > 0, (d[:, c] ** 2 - d[np.arange(len(x)), own] ** 2) / (2 * apart), 0.0)
-        least[:, i] = np.maximum(0.0, np.maximum(gap, plane))
-        if i == 0 or layout.cell[i - 1] != c:
-            seen = 0
-        seen += layout.rows[i]
-        # One more than k, because a self-join finds the query itself.
-        if seen >= k + 1:
-            upper = np.minimum(upper, d[:, c] + layout.high[i])
+    apart = between[own]
+    # Points of another cell lie behind the plane halfway between its pivot and the query's own.
+    plane = np.where(apart > 0, (d ** 2 - d[rows, own][:, None] ** 2) / np.where(apart > 0, 2 * apart, 1.0), 0.0)
+    at = d[:, layout.cell]
+    least = np.maximum(np.maximum(at - layout.high, layout.low - at), np.maximum(plane[:, layout.cell], 0.0))
+    # The first ring by which a cell has k + 1 points (a self-join finds the query itself) bounds the k-th distance.
+    full = layout.filled(k + 1)
+    upper = (d[:, layout.cell[full]] + layout.high[full]).min(axis=1) if len(full) else np.full(len(x), np.inf)
     return least, upper
 
 
@@ -120,12 +120,15 @@ def _route(queries: DataFrame, layout: _Layout, k: int, home: bool) -> DataFrame
     """(block, id, x) rows: the home ring's blocks, or all others that may still hold a neighbour."""
     schema = "block int, id long, x array<double>"
 
+    between = _to_pivots(layout.pivots, layout.pivots)
+    step = max(1, min(1000, 2_000_000 // len(layout.cell)))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in frames:
-            for start in range(0, len(whole), 1000):
-                frame = whole.iloc[start:start + 1000]
+            for start in range(0, len(whole), step):
+                frame = whole.iloc[start:start + step]
                 x = np.array(frame["x"].tolist())
-                least, upper = _reach(layout, x, k)
+                least, upper = _reach(layout, between, x, k)
                 nearest = least.argmin(axis=1)
                 if home:
                     keep = np.zeros_like(least, dtype=bool)
@@ -139,7 +142,7 @@ def _route(queries: DataFrame, layout: _Layout, k: int, home: bool) -> DataFrame
                 rows = np.repeat(q, counts)
                 ids = np.concatenate([np.arange(f, f + n) for f, n in zip(layout.first_id[r], counts)]) if len(r) else np.array([], int)
                 yield pd.DataFrame({"block": ids.astype("int32"), "id": frame["id"].to_numpy()[rows],
-                                    "x": [frame["x"].iloc[i] for i in rows]})
+                                    "x": frame["x"].to_numpy()[rows]})
     return queries.mapInPandas(run, schema)
 
 

@@ -31,7 +31,7 @@ select *, case when rn <= floor(floor(n * 8e-1) * (1e0 - 15e-2)) then 'fit'
 
 def _round(inner: str, doubles: str, others: str = "", digits: int = 6, ctes: str = "") -> str:
     cols = [c.strip() for c in others.split(",") if c.strip()]
-    cols += [f"round({c.strip()} + 1e-{digits + 2}, {digits}) + 0e0 as {c.strip()}" for c in doubles.split(",") if c.strip()]
+    cols += [f"round({c.strip()} + 1.2345678e-{digits + 2}, {digits}) + 0e0 as {c.strip()}" for c in doubles.split(",") if c.strip()]
     return f"{'with ' + ctes if ctes else ''} select {', '.join(cols)} from ({inner}) q"
 
 
@@ -131,7 +131,59 @@ sweep as (select threshold, {c_fn}e0 * lost + {c_fp}e0 * fp + {c_tp}e0 * tp + {c
 
 _PR = """, pts as (select score as threshold, tp / (tp + fp) as "precision", tp / all_pos as recall from steps)"""
 
+# Online rules: whole seconds, both window ends closed, only a card's last 100 earlier rows.
+_ONLINE = TX + """, o as (select *, cast(floor(epoch_us(trans_ts) / 1e6) as bigint) as clock_s from tx),
+k as (select *, row_number() over (partition by cc_num order by clock_s, trans_num) as rn from o),
+v as (select a.trans_num, count(b.rn) filter (a.clock_s - b.clock_s <= 3600) as txn_count_1h, count(b.rn) filter (a.clock_s - b.clock_s <= 86400) as txn_count_24h,
+   coalesce(sum(b.amt) filter (a.clock_s - b.clock_s <= 3600), 0e0) as txn_amount_1h, coalesce(sum(b.amt) filter (a.clock_s - b.clock_s <= 86400), 0e0) as txn_amount_24h
+   from k a left join k b on a.cc_num = b.cc_num and b.rn between a.rn - 100 and a.rn - 1 group by a.trans_num),
+g as (select a.trans_num, a.amt, b.rn is null as cold, (a.clock_s - b.clock_s) / 36e2 as gap, 2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(a.merch_lat - b.merch_lat) / 2), 2)
+   + cos(radians(b.merch_lat)) * cos(radians(a.merch_lat)) * pow(sin(radians(a.merch_long - b.merch_long) / 2), 2))) as km
+   from k a left join k b on a.cc_num = b.cc_num and b.rn = a.rn - 1),
+online as (select trans_num, txn_count_1h, txn_count_24h, txn_amount_1h, txn_amount_24h, coalesce(km, 0e0) as dist_from_prev_km,
+   case when cold then 999e0 else gap end as time_since_prev_h, case when cold then 0e0 else km / greatest(gap, 1e0 / 6e1) end as speed_kmh,
+   cast(cold as int) as cold_start from v join g using (trans_num))"""
+_ONLINE_DOUBLES = "txn_amount_1h, txn_amount_24h, dist_from_prev_km, time_since_prev_h, speed_kmh"
+
+_D2 = """(a.amt - b.amt) * (a.amt - b.amt) + (a.merch_lat - b.merch_lat) * (a.merch_lat - b.merch_lat)
+  + (a.merch_long - b.merch_long) * (a.merch_long - b.merch_long) + cast(a.city_pop - b.city_pop as double) * cast(a.city_pop - b.city_pop as double)"""
+_NEAR = TX + f""", f as (select * from tx where is_fraud = 1),
+near as (select a.trans_num, b.trans_num as neighbour, b.amt as n_amt, b.merch_lat as n_lat, b.merch_long as n_long, b.city_pop as n_pop,
+   row_number() over (partition by a.trans_num order by {_D2}, b.trans_num) as place
+   from f a join f b on a.trans_num <> b.trans_num qualify place <= 5)"""
+_LINKS = TX + f""", out as (select a.trans_num as x, arg_min(b.trans_num, ({_D2}, b.trans_num)) as nn from tx a join tx b on a.trans_num <> b.trans_num
+   where a.is_fraud = 1 group by 1),
+back as (select a.trans_num as x, arg_min(b.trans_num, ({_D2}, b.trans_num)) as nn from tx a join tx b on a.trans_num <> b.trans_num
+   where a.trans_num in (select nn from out) group by 1),
+links as (select least(out.x, out.nn) as low_id, greatest(out.x, out.nn) as high_id from out join back on out.nn = back.x and back.nn = out.x
+   join tx on tx.trans_num = out.nn where tx.is_fraud = 0)"""
+
+
+def _hash(text: str) -> str:
+    """The number in [0, 1) that the first 8 hex digits of an md5 stand for."""
+    return f"cast(cast('0x' || substr(md5({text}), 1, 8) as ubigint) as double) / 4294967296e0"
+
+
+_SMOTE = _NEAR + f""", size as (select count(*) filter (is_fraud = 1) as pos, cast(floor(1e-1 * count(*) filter (is_fraud = 0)) as bigint) - count(*) filter (is_fraud = 1) as need from tx),
+lots as (select f.*, need // pos + case when row_number() over (order by {_hash("concat(trans_num, ':extra:42')")}, trans_num) <= need % pos then 1 else 0 end as times from f, size),
+copies as (select lots.*, unnest(range(1, times + 1)) as copy from lots),
+held as (select trans_num, count(*) as held from near group by 1),
+picked as (select c.*, {_hash("concat(c.trans_num, ':', c.copy, ':u:42')")} as u,
+   1 + floor({_hash("concat(c.trans_num, ':', c.copy, ':n:42')")} * held) as place from copies c join held using (trans_num))"""
+
 ORACLES: dict[str, str] = {
+    "online_features_replay": _round("select * from online", _ONLINE_DOUBLES, "trans_num, txn_count_1h, txn_count_24h, cold_start", 2, _ONLINE),
+    "stream_online_features": _round("select * from online", _ONLINE_DOUBLES, "trans_num, txn_count_1h, txn_count_24h, cold_start", 2, _ONLINE),
+    "online_overwrite": _round(f"""select cast(txn_count_1h as double) as txn_count_1h, cast(txn_count_24h as double) as txn_count_24h, amt_hist_mean, o.* exclude (txn_count_1h, txn_count_24h)
+          from online o join (select trans_num, coalesce(avg(amt) over (partition by cc_num order by trans_ts, trans_num rows between unbounded preceding and 1 preceding), amt) as amt_hist_mean from tx) using (trans_num)""",
+        _ONLINE_DOUBLES + ", txn_count_1h, txn_count_24h, amt_hist_mean", "trans_num", 2, _ONLINE),
+    "minority_neighbours": f"with {_NEAR} select trans_num, cast(place as int) as place, neighbour from near",
+    "smote": _round("""select p.trans_num, p.copy, p.is_fraud, p.amt + u * (n_amt - p.amt) as amt, merch_lat + u * (n_lat - merch_lat) as merch_lat,
+          merch_long + u * (n_long - merch_long) as merch_long, city_pop + u * (n_pop - city_pop) as city_pop from picked p join near using (trans_num, place)""",
+        "amt, merch_lat, merch_long, city_pop", "trans_num, is_fraud, cast(copy as int) as copy", ctes=_SMOTE),
+    "tomek_links": f"with {_LINKS} select low_id, high_id from links",
+    "without_tomek_links": f"with {_LINKS} select trans_num, is_fraud from tx where trans_num not in (select low_id from links) and trans_num not in (select high_id from links)",
+
     "time_features": f"""with {TX} select trans_num, cast(hour(trans_ts) as int) as hour, cast(isodow(trans_ts) - 1 as int) as day_of_week,
         case when hour(trans_ts) <= 5 then 1 else 0 end as is_night from tx""",
     "card_velocity": _round(_history("tx", _STD), "txn_count_1h, txn_amount_1h, txn_count_24h, txn_amount_24h", "trans_num", ctes=TX),

@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.functions import scalar
+from riskweave.models import explain, trees, tuning
 from riskweave.operators import (
-    calibration, costs, eda, encoders, features, history, ordered, ranking, splits)
+    calibration, costs, eda, encoders, features, history, imbalance, ordered, ranking, splits)
+from riskweave.plans import training
+from riskweave.session import scratch_path
 from riskweave.sources import runs, transactions as tx
+from riskweave.streaming import online, replay
 
 DIGITS = 6
 # Fixed values used by the cost queries.
@@ -21,8 +25,9 @@ WITH_REVIEW = costs.CostMatrix(c_fn=1.0, c_fp=5.0, c_tp=2.0, c_tn=0.01)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    # Means of cents often end in an exact 5 behind the last digit; the nudge keeps them on one side.
-    nudge = F.lit(10.0 ** -(digits + 2))
+    # Means of cents and micros in hours can end in an exact 5 behind the last digit; the nudge keeps
+    # them on one side.
+    nudge = F.lit(float(f"1.2345678e-{digits + 2}"))
     return df.select(*[F.round(F.col(f"`{n}`") + nudge, digits).alias(n) if k == "double" else F.col(f"`{n}`")
                        for n, k in df.dtypes])
 
@@ -388,6 +393,137 @@ def alias_latest(spark, d):
     return runs.latest_aliases(o).select("name", "alias", "version")
 
 
+# ---- online features --------------------------------------------------------------------------
+
+def online_features_replay(spark, d):
+    out = replay.replay(tx.transactions(spark, d), digits=None)
+    return rounded(out.withColumn("cold_start", F.col("cold_start").cast("int")), 2)
+
+
+def online_overwrite(spark, d):
+    """History columns of the engineered frame replaced by the online ones."""
+    t = tx.transactions(spark, d)
+    fresh = online.overwrite_with_online(_history(spark, d), replay.replay(t, digits=None))
+    return rounded(fresh.select("trans_num", *online.ONLINE_COLUMNS.names, "amt_hist_mean"), 2)
+
+
+def _event_stream(spark, d):
+    struct = spark.read.parquet(f"{d}/events.parquet").schema
+    raw = online.read_stream(spark, d, struct, "parquet", pattern="events.parquet")
+    return tx.as_transactions(raw).withColumn("ingest_ms", F.lit(0).cast("long"))
+
+
+def stream_online_features(spark, d):
+    out = online.with_online_features(_event_stream(spark, d), digits=None).select(
+        "trans_num", *online.ONLINE_COLUMNS.names, F.col("cold_start").cast("int").alias("cold_start"))
+    return rounded(online.run_to_end(out, scratch_path(spark, "online"), scratch_path(spark, "online-state")), 2)
+
+
+def stream_scores(spark, d):
+    """Calibrated probability, decision and reasons of every event, scored as a stream."""
+    trained = training.train(tx.transactions(spark, d), SMALL_TREES)
+    out = online.score_stream(_event_stream(spark, d), trained).drop("latency_ms")
+    return online.run_to_end(out, scratch_path(spark, "scores"), scratch_path(spark, "scores-state"))
+
+
+# ---- resampling -------------------------------------------------------------------------------
+
+POINT = ["amt", "merch_lat", "merch_long", "city_pop"]
+
+
+def minority_neighbours(spark, d):
+    fraud = tx.transactions(spark, d).filter("is_fraud = 1")
+    near = imbalance.minority_neighbours(fraud, POINT)
+    return near.select("trans_num", F.posexplode("near").alias("pos", "n")).select(
+        "trans_num", (F.col("pos") + 1).alias("place"), F.col("n.neighbour").alias("neighbour"))
+
+
+def smote(spark, d):
+    return rounded(imbalance.synthetic_minority(tx.transactions(spark, d), POINT))
+
+
+def tomek_links(spark, d):
+    return imbalance.tomek_links(tx.transactions(spark, d), POINT)
+
+
+def without_tomek_links(spark, d):
+    t = tx.transactions(spark, d)
+    return imbalance.without_links(t, imbalance.tomek_links(t, POINT)).select("trans_num", "is_fraud")
+
+
+# ---- models -----------------------------------------------------------------------------------
+
+# Small settings keep the model queries short; the library's defaults are larger.
+SMALL_TREES = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.2}
+
+
+def train_report(spark, d):
+    """The whole training job; one row of test metrics."""
+    trained = training.train(tx.transactions(spark, d), SMALL_TREES)
+    test = {k: float(v) for k, v in trained.report["test"].items()}
+    row = (trained.calibrator.method, float(trained.threshold), float(trained.report["val_pr_auc"]),
+           float(trained.report["test_cost"]["cost_per_txn"]), *test.values())
+    return rounded(spark.createDataFrame([row], "calibrator string, threshold double, val_pr_auc double, cost_per_txn double, "
+                                         + ", ".join(f"{k} double" for k in test)))
+
+
+def _fitted(spark, d):
+    _, engineered = training.engineered_folds(tx.transactions(spark, d))
+    fit = splits.take_fold(engineered, "fit")
+    matrix = trees.Matrix.fit(fit, training.feature_columns(engineered))
+    return engineered, matrix, trees.fit_class_weighted(fit, matrix, **SMALL_TREES)
+
+
+def batch_scores(spark, d):
+    engineered, matrix, model = _fitted(spark, d)
+    return rounded(trees.score(model, matrix, engineered, ["trans_num", "fold"]))
+
+
+def split_importance(spark, d):
+    _, matrix, model = _fitted(spark, d)
+    return rounded(trees.split_importance(model, matrix, spark))
+
+
+def attributions(spark, d):
+    engineered, matrix, model = _fitted(spark, d)
+    return rounded(explain.attributions(model, matrix, engineered))
+
+
+def attribution_importance(spark, d):
+    engineered, matrix, model = _fitted(spark, d)
+    return rounded(explain.global_importance(explain.attributions(model, matrix, engineered), matrix.columns))
+
+
+def top_reasons(spark, d):
+    engineered, matrix, model = _fitted(spark, d)
+    return explain.reasons(model, matrix, engineered, top=6)
+
+
+def six_feature_baseline(spark, d):
+    return rounded(training.baseline(tx.transactions(spark, d), **SMALL_TREES))
+
+
+def imbalance_comparison(spark, d):
+    _, engineered = training.engineered_folds(tx.transactions(spark, d))
+    return rounded(training.compare_strategies(engineered, **SMALL_TREES))
+
+
+def winner_on_test(spark, d):
+    _, engineered = training.engineered_folds(tx.transactions(spark, d))
+    return rounded(training.confirm_on_test(engineered, "class_weight", **SMALL_TREES))
+
+
+def tuning_trials(spark, d):
+    """Two seeded trials over a reduced range, scored on the validation fold."""
+    _, engineered = training.engineered_folds(tx.transactions(spark, d))
+    fit, val = splits.take_fold(engineered, "fit"), splits.take_fold(engineered, "val")
+    matrix = trees.Matrix.fit(fit, training.feature_columns(engineered))
+    space = {**tuning.SEARCH_SPACE, "maxIter": (3, 6, "int"), "maxDepth": (3, 4, "int"), "minInfoGain": (0.0, 0.001, "float")}
+    _, history = tuning.search(fit, val, matrix, trials=2, recent_share=0.5, space=space)
+    rows = spark.createDataFrame([(t["trial"], t["pr_auc"]) for t in history], "trial int, pr_auc double")
+    return rounded(ranking.running_best(rows, "trial", "pr_auc"))
+
+
 QUERIES = {f.__name__: f for f in (
     time_features, card_velocity, amount_behaviour, geo_travel, tied_history, customer_age, frequency_encoding,
     target_encoding, encoder_tables, engineered_features, history_transform, feature_gaps, defaults_without_profile,
@@ -400,4 +536,8 @@ QUERIES = {f.__name__: f for f in (
     confusion, point_metrics, average_precision, base_rate, roc_auc, pr_curve, roc_curve, recall_at_precision,
     threshold_at_precision, metric_bundle, classification_report, flat_cost, amount_cost, threshold_sweep,
     threshold_sweep_exact, best_threshold, f1_threshold, brier_log_loss, reliability_curve, isotonic_calibration,
-    platt_calibration, calibrator_choice, run_leaderboard, running_best, alias_latest)}
+    platt_calibration, calibrator_choice, run_leaderboard, running_best, alias_latest,
+    online_features_replay, online_overwrite, stream_online_features, stream_scores,
+    minority_neighbours, smote, tomek_links, without_tomek_links,
+    train_report, batch_scores, split_importance, attributions, attribution_importance, top_reasons,
+    six_feature_baseline, imbalance_comparison, winner_on_test, tuning_trials)}

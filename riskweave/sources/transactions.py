@@ -39,10 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `events` table seen as card transactions."""
-    e = table(spark, sf_dir, "events")
+    return as_transactions(table(spark, sf_dir, "events"))
+
+
+def as_transactions(e: DataFrame) -> DataFrame:
+    """Rows of the `events` layout, from a table or a stream, as card transactions."""
     eid, uid = F.col("event_id"), F.col("user_id")
     return e.select(
-        eid.alias("trans_num"), uid.alias("cc_num"), F.col("ts").alias("trans_ts"),
+        eid.alias("trans_num"), uid.alias("cc_num"), F.col("ts").cast("timestamp").alias("trans_ts"),
         F.col("value").alias("amt"), F.col("event_type").alias("category"),
         F.concat(F.lit("m_"), ((eid * 7 + uid) % 41).cast("string")).alias("merchant"),
         F.when(uid % 2 == 0, "F").otherwise("M").alias("gender"),
