@@ -194,7 +194,7 @@ ORACLES: dict[str, str] = {
         "txn_count_30d, txn_amount_30d, txn_count_90d, txn_amount_90d, amt_hist_mean, amt_hist_std, time_since_prev_h", "trans_num", 4,
         "o as (select o_orderkey as trans_num, o_custkey as cc_num, o_orderdate as trans_ts, o_totalprice as amt, 0e0 as merch_lat, 0e0 as merch_long from orders)"),
     "customer_age": f"""with {TX}, a as (select trans_num, date_diff('day', dob, cast(trans_ts as date)) / 365.25e0 as years from tx)
-        select trans_num, round(coalesce(round(years, 1), (select quantile_cont(years, 0.5) from a)), 6) as age from a""",
+        select trans_num, round(coalesce(round(years, 1), (select quantile_cont(years, 0.5) from a)) + 1.2345678e-8, 6) as age from a""",
     "frequency_encoding": _round(f"select trans_num, {_ENC_COLS} from tx left join merchant_enc using (merchant) left join category_enc using (category), n_train",
         "merchant_freq, category_freq", "trans_num", ctes=TRAIN + _ENC),
     "target_encoding": _round(f"select trans_num, {_ENC_COLS} from tx left join merchant_enc using (merchant) left join category_enc using (category), n_train",
@@ -206,14 +206,14 @@ ORACLES: dict[str, str] = {
     "feature_gaps": "select " + ", ".join(f"cast(0 as bigint) as {c.strip()}" for c in (
         "trans_num, hour, day_of_week, is_night, city_pop, gender, is_fraud, " + _FEATURES).split(",")) + " from (select count(*) from events)",
     "defaults_without_profile": f"""with {TX}, m as (select merchant, count(*) / (select count(*) from tx) as f from tx group by 1)
-        select trans_num, cast(0 as bigint) as city_pop, 'U' as gender, round(f, 6) as merchant_freq, cast(22 as int) as columns_n from tx join m using (merchant)""",
+        select trans_num, cast(0 as bigint) as city_pop, 'U' as gender, round(f + 1.2345678e-8, 6) as merchant_freq, cast(22 as int) as columns_n from tx join m using (merchant)""",
     "categories": f"""with {TX}, v as (select category, cast(row_number() over (order by category) - 1 as int) as code
           from (select distinct category from tx where amt > 20 and category <> 'error'))
         select trans_num, v.category, coalesce(code, -1) as category_code from tx left join v using (category)""",
     "event_clock": f"""with {TX} select trans_num, cast(floor(epoch_us(trans_ts) / 1e6) as bigint) - case when trans_num % 3 = 0 then 0 else 86400 end as clock_s,
         case when trans_num % 5 = 0 or dob is null then 1 else 0 end as dob_missing from tx""",
     "travel_from_home": f"""with {TX} select trans_num, round(2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(40e0 - merch_lat) / 2), 2)
-        + cos(radians(merch_lat)) * cos(radians(40e0)) * pow(sin(radians(-100e0 - merch_long) / 2), 2))), 6) as km from tx""",
+        + cos(radians(merch_lat)) * cos(radians(40e0)) * pow(sin(radians(-100e0 - merch_long) / 2), 2))) + 1.2345678e-8, 6) as km from tx""",
     "decisions": f"""with {SCORES} select id, round_even(p, 4) as p4, case when p >= 1e-1 then 'fraud' else 'not_fraud' end as decision from s""",
     "chrono_split": f"with {TRAIN} select trans_num, 'train' as fold from train union all select trans_num, 'test' from test",
     "chrono_folds": f"with {FOLDS} select trans_num, fold from folds",
@@ -226,7 +226,7 @@ ORACLES: dict[str, str] = {
     "fold_bounds": f"with {FOLDS} select fold, epoch_us(min(trans_ts)) as first_us, epoch_us(max(trans_ts)) as last_us from folds group by fold",
     "fit_plus_val": f"with {TRAIN} select trans_num, is_fraud from train",
     "seeded_sample": f"with {TX} select trans_num from tx order by md5(concat(trans_num, ':42')), trans_num limit 4000",
-    "highest_scored_positive": f"with {SCORES} select id, round(p, 6) as p from s where y = 1 order by p desc, id limit 1",
+    "highest_scored_positive": f"with {SCORES} select id, round(p + 1.2345678e-8, 6) as p from s where y = 1 order by p desc, id limit 1",
     "split_summary": _round("""select fold, count(*) as rows_n, 12 as columns_n, cast(floor(epoch_us(min(trans_ts)) / 1e6) as bigint) as first_s,
         cast(floor(epoch_us(max(trans_ts)) / 1e6) as bigint) as last_s, count(*) filter (is_fraud = 1) as positives,
         count(*) filter (is_fraud = 0) as negatives, avg(is_fraud) * 1e2 as rate_pct from folds group by fold""",
@@ -263,7 +263,7 @@ ORACLES: dict[str, str] = {
     "clipped_histogram": _round("select * from h", "left_edge, density", "is_fraud, bin, n", ctes=TX + """, cl as (select is_fraud,
         least(greatest(amt, (select quantile_cont(amt, 0.01) from tx)), (select quantile_cont(amt, 0.99) from tx)) as amt from tx), """
         + _hist("cl", 40, "is_fraud", True)),
-    "quantile_grid": """select cast(i as int) as step, round(v, 6) as value from (select unnest(range(21)) as i,
+    "quantile_grid": """select cast(i as int) as step, round(v + 1.2345678e-8, 6) as value from (select unnest(range(21)) as i,
         unnest(quantile_cont(l_extendedprice, [i / 20e0 for i in range(21)])) as v from lineitem)""",
     "latency_summary": _round("""select max(rn) as n, max(value) as max_ms, avg(value) as mean_ms,
           max(rn) / ((max(epoch_us(ts) + cast(round(value * 1000) as bigint)) - min(epoch_us(ts))) / 1e6) as per_second,
@@ -274,10 +274,10 @@ ORACLES: dict[str, str] = {
     "confusion": f"with {SCORES} {_conf(0.2)}",
     "point_metrics": _round(f"select *, {_RATES}, {_F1} from ({_conf(0.2)})", '"precision", recall, f1', "tp, fp, fn, tn", ctes=SCORES),
     "average_precision": f"""with {SCORES} {_steps('p')}, {_steps('p_tied')[2:].replace('g as', 'g2 as').replace('from g)', 'from g2)').replace('steps as', 'steps2 as')}
-        select round((select {_AP} from steps), 6) as average_precision, round((select {_AP} from steps2), 6) as average_precision_tied""",
-    "base_rate": f"with {SCORES} select round(avg(y), 6) as base_rate from s",
+        select round((select {_AP} from steps) + 1.2345678e-8, 6) as average_precision, round((select {_AP} from steps2) + 1.2345678e-8, 6) as average_precision_tied""",
+    "base_rate": f"with {SCORES} select round(avg(y) + 1.2345678e-8, 6) as base_rate from s",
     "roc_auc": f"""with {SCORES} {_steps('p')}, {_steps('p_tied')[2:].replace('g as', 'g2 as').replace('from g)', 'from g2)').replace('steps as', 'steps2 as')}
-        select round((select {_AUC} from steps), 6) as roc_auc, round((select {_AUC} from steps2), 6) as roc_auc_tied""",
+        select round((select {_AUC} from steps) + 1.2345678e-8, 6) as roc_auc, round((select {_AUC} from steps2) + 1.2345678e-8, 6) as roc_auc_tied""",
     "pr_curve": _round("select * from pts union all select null, 1e0, 0e0", 'threshold, "precision", recall', ctes=SCORES + _steps("p") + _PR),
     "roc_curve": _round("select score as threshold, fp / all_neg as fpr, tp / all_pos as tpr from steps union all select null, 0e0, 0e0",
         "threshold, fpr, tpr", ctes=SCORES + _steps("p_tied")),
@@ -299,7 +299,7 @@ ORACLES: dict[str, str] = {
           union all select 'accuracy', (tp + tn) / (tp + tn + fp + fn), (tp + tn) / (tp + tn + fp + fn), (tp + tn) / (tp + tn + fp + fn), tp + tn + fp + fn from c)
         select row_name, round(p, 4) as "precision", round(r, 4) as recall, round(f, 4) as f1, cast(support as bigint) as support from a""",
     "flat_cost": f"""with {SCORES}, c as ({_conf(0.2)}) select fn as flat_fn, fp as flat_fp, 1e2 * fn + 5e0 * fp as flat_total_cost,
-        round((1e2 * fn + 5e0 * fp) / (tp + fp + fn + tn), 6) as flat_cost_per_txn from c""",
+        round((1e2 * fn + 5e0 * fp) / (tp + fp + fn + tn) + 1.2345678e-8, 6) as flat_cost_per_txn from c""",
     "amount_cost": _round(f"""select *, 2e-1 as threshold, lost + 5e0 * fp as total_cost, (lost + 5e0 * fp) / (tp + fp + fn + tn) as cost_per_txn, {_RATES}
           from ({_conf(0.2)}), (select sum(amt) filter (p < 2e-1 and y = 1) as lost from s)""",
         'threshold, total_cost, cost_per_txn, "precision", recall', "tp, fp, fn, tn", ctes=SCORES),
@@ -329,7 +329,7 @@ ORACLES: dict[str, str] = {
         b as (select a.i as i0, z.i as i1, (z.cp - a.cp + a.pos) / (z.cw - a.cw + a.w) as m from c a join c z on a.i <= z.i),
         low as (select k.i as i, b.i0, min(b.m) as m from c k join b on b.i0 <= k.i and b.i1 >= k.i group by 1, 2),
         f as (select i, max(m) as p_cal from low group by 1)
-        select id, round(p_cal, 6) as p_cal from s join g using (p_tied) join f using (i)""",
+        select id, round(p_cal + 1.2345678e-8, 6) as p_cal from s join g using (p_tied) join f using (i)""",
     "run_leaderboard": _round("""select *, row_number() over (order by pr_auc desc, approach) as place, case when row_number() over (order by pr_auc desc, approach) = 1 then 1 else 0 end as is_winner
         from (select category as approach, """ + _AP + " as pr_auc, " + _AUC + """ as roc_auc, coalesce(sum(pos) filter (score >= 2e-1) / sum(pos), 0e0) as recall
           from (select *, sum(pos) over (partition by category order by score desc) as tp, sum(neg) over (partition by category order by score desc) as fp
