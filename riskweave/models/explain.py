@@ -17,8 +17,7 @@ import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskweave.models.trees import Matrix
-from riskweave.session import scratch_path
+from riskweave.models.trees import Matrix, saved_nodes
 
 # A leaf table has 2 ** (features on its path) entries.
 MAX_PATH_FEATURES = 12
@@ -53,10 +52,8 @@ def _leaf_table(value: float, shares: Sequence[float]) -> np.ndarray:
 
 def read_leaves(model: GBTClassificationModel, spark) -> tuple[list[Leaf], float]:
     """Leaves of all trees, scaled to log-odds, and the expected log-odds. Size depends on the model only."""
-    path = scratch_path(spark, "trees")
-    model.write().overwrite().save(path)
     nodes: dict[int, dict[int, object]] = {}
-    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
+    for row in saved_nodes(model, spark).collect():
         nodes.setdefault(row["treeID"], {})[row["id"]] = row
     leaves, base = [], 0.0
     for tree_id, scale in enumerate(model.treeWeights):

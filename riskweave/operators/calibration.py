@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave.operators.ordered import ROWS_PER_TASK, exact_quantiles
@@ -53,6 +53,15 @@ class Calibrator:
         return scored.withColumn(out, vector_to_array("_cal_prob")[1]).drop("_cal_x", "_cal_prob", "_cal_raw", "_cal_pred")
 
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/{self.method}")
+
+    @classmethod
+    def load(cls, path: str, method: str) -> "Calibrator":
+        kind = {"isotonic": IsotonicRegressionModel, "sigmoid": LogisticRegressionModel}[method]
+        return cls(method, kind.load(f"{path}/{method}"))
+
+
 def fit_isotonic(scored: DataFrame, label: str = "y", score: str = "p") -> Calibrator:
     """Pool-adjacent-violators fit with linear interpolation, clipped at both ends."""
     rows = _distinct_scores(scored, label, score).select("p", "w", (F.col("pos") / F.col("w")).alias("share"))

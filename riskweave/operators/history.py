@@ -23,29 +23,36 @@ NULL_KEY_SPREAD = 4096
 
 def _marks(df: DataFrame, key: str, time_col: str, tie: str, amount: str, lat: str, lon: str,
            windows: Mapping[str, float], chunks: keyed_chunks.KeyChunks) -> DataFrame:
-    """One row per transaction plus one per window at the moment the transaction leaves it."""
-    us = micros(time_col)
+    """One row per transaction plus one per window at the moment the transaction leaves it.
+
+    The rows arrive partitioned by (card, salt, chunk), so the windows add no exchange.
+    """
     base = df.select(
         F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
-        F.col(key).alias(key), us.alias("_us"), F.col(tie).alias("_tie"),
+        F.col(key).alias(key), micros(time_col).alias("_us"), F.col(tie).alias("_tie"),
         F.when(F.col(key).isNotNull(), nan_to_null(amount)).alias("_amt"),
         nan_to_null(lat).alias("_lat"), nan_to_null(lon).alias("_lon"))
+    base = base.withColumn("_salt", _null_key_salt(key))
+    own = F.struct(F.lit(0).alias("kind"), F.col("_us").alias("at"))
+    leaving = [F.struct(F.lit(i).alias("kind"), (F.col("_us") + F.lit(int(hours * MICROS_PER_HOUR))).alias("at"))
+               for i, hours in enumerate(windows.values(), start=1)]
     if chunks.any_hot:
-        base = chunks.attach(base)
+        # A leave mark of a hot card may belong to a later chunk, so it has to travel on its own;
+        # those of ordinary cards are made after the exchange.
+        base = chunks.attach(base).withColumn("_hot", F.col("_chunks").isNotNull())
+        base = base.withColumn("_m", F.explode(F.when(F.col("_hot"), F.array(own, *leaving)).otherwise(F.array(own))))
+        base = base.withColumns({"_chunk": chunks.chunk_of(F.col("_m.at")), "_row": F.when(F.col("_m.kind") == 0, F.col("_row"))})
+        base = base.drop("_t0", "_cell", "_chunks").repartition(key, "_salt", "_chunk")
+        mine = F.when(F.col("_hot"), F.array(F.col("_m"))).otherwise(F.array(own, *leaving))
+        marks = base.withColumn("_m", F.explode(mine))
     else:
-        # Move each row once; the leave marks are made after the exchange.
-        base = base.repartition(F.col(key), _null_key_salt(key))
-    moments = [F.struct(F.lit(0).alias("kind"), F.col("_us").alias("at"))]
-    for i, hours in enumerate(windows.values(), start=1):
-        moments.append(F.struct(F.lit(i).alias("kind"), (F.col("_us") + F.lit(int(hours * MICROS_PER_HOUR))).alias("at")))
-    marks = base.withColumn("_m", F.explode(F.array(*moments)))
+        base = base.withColumns({"_chunk": F.lit(0), "_hot": F.lit(False)}).repartition(key, "_salt")
+        marks = base.withColumn("_m", F.explode(F.array(own, *leaving)))
     is_row = F.col("_m.kind") == 0
     known = is_row & F.col(key).isNotNull()
-    at = F.col("_m.at")
-    chunk = chunks.chunk_of(at) if chunks.any_hot else F.lit(0)
     cols = [
-        F.col(key), chunk.alias("_chunk"), _null_key_salt(key).alias("_salt"),
-        F.col("_m.kind").alias("_kind"), at.alias("_at"), F.col("_amt"),
+        F.col(key), F.col("_chunk"), F.col("_salt"), F.col("_hot"),
+        F.col("_m.kind").alias("_kind"), F.col("_m.at").alias("_at"),
         F.when(is_row, F.col("_tie")).alias("_tie"),
         F.when(is_row, F.col("_row")).alias("_row"),
         F.when(known, F.struct("_lat", "_lon", "_us")).alias("_point"),
@@ -55,8 +62,6 @@ def _marks(df: DataFrame, key: str, time_col: str, tie: str, amount: str, lat: s
         sign = F.when(is_row, 1).when(F.col("_m.kind") == i, -1)
         cols.append(F.when(F.col("_amt").isNotNull(), sign).alias(f"_n{i}"))
         cols.append((sign * F.col("_amt")).alias(f"_s{i}"))
-    if chunks.any_hot:
-        cols.append(F.col("_chunks").isNotNull().alias("_hot"))
     return marks.select(*cols)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_TASK = 2_000_000
 MAX_BUCKETS = 4096
-RANK_CELLS = 65536
+RANK_CELLS = 4096
 LAST_STEP_ROWS = 20_000
 
 
@@ -97,8 +97,13 @@ def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], rows: int,
     else:
         counts = counts.withColumn("_ranks", F.array(*[F.lit(r).cast("long") for r in ranks]))
         upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    hits = counts.withColumn("_upto", upto).select(
-        "v", F.explode(F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("n")))).alias("rank"))
+    placed = counts.withColumn("_upto", upto.cast("double")).withColumn("_from", F.col("_upto") - F.col("n"))
+    # A binary search in the rank list finds the few rows that cover a rank.
+    search = Bucketizer(splitsArray=[[-math.inf, *map(float, ranks), math.inf]] * 2, inputCols=["_from", "_upto"],
+                        outputCols=["_rank_from", "_rank_upto"])
+    shifted = placed.withColumns({"_from": F.col("_from") - 0.5, "_upto": F.col("_upto") - 0.5})
+    hits = search.transform(shifted).filter(F.col("_rank_upto") > F.col("_rank_from")).select(
+        "v", F.explode(F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_from")))).alias("rank"))
     return {row["rank"]: row["v"] for row in hits.collect()}
 
 

@@ -484,6 +484,11 @@ def split_importance(spark, d):
     return rounded(trees.split_importance(model, matrix, spark))
 
 
+def split_counts(spark, d):
+    _, matrix, model = _fitted(spark, d)
+    return trees.split_counts(model, matrix, spark)
+
+
 def attributions(spark, d):
     engineered, matrix, model = _fitted(spark, d)
     return rounded(explain.attributions(model, matrix, engineered))
@@ -539,5 +544,5 @@ QUERIES = {f.__name__: f for f in (
     platt_calibration, calibrator_choice, run_leaderboard, running_best, alias_latest,
     online_features_replay, online_overwrite, stream_online_features, stream_scores,
     minority_neighbours, smote, tomek_links, without_tomek_links,
-    train_report, batch_scores, split_importance, attributions, attribution_importance, top_reasons,
+    train_report, batch_scores, split_importance, split_counts, attributions, attribution_importance, top_reasons,
     six_feature_baseline, imbalance_comparison, winner_on_test, tuning_trials)}

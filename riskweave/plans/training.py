@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave import schema
+from riskweave.functions.scalar import decision
 from riskweave.models import trees, tuning
-from riskweave.operators import calibration, costs, features, imbalance, ranking, splits
+from riskweave.operators import calibration, costs, encoders, features, imbalance, ranking, splits
 from riskweave.session import checkpointed
+from riskweave.sources import sinks, transactions as tx
 
 AMOUNT_AWARE = costs.CostMatrix(c_fn=1.0, c_fp=5.0)
 FLAT = costs.CostMatrix(c_fn=100.0, c_fp=5.0)
@@ -33,10 +37,42 @@ class TrainedModel:
         scored = trees.score(self.trees, self.matrix, engineered, list(keep))
         if self.calibrator is not None:
             scored = self.calibrator.transform(scored, "p").drop("p").withColumnRenamed("p_cal", "p")
-        from riskweave.functions.scalar import decision
         return scored.withColumn("decision", decision("p", self.threshold))
 
 
+    def save(self, spark, path: str) -> None:
+        """Encoders, layout, trees, recalibration and operating point below one folder."""
+        self.features.encoders.save(f"{path}/encoders")
+        self.trees.write().overwrite().save(f"{path}/trees")
+        if self.calibrator is not None:
+            self.calibrator.save(f"{path}/calibrator")
+        fm = self.features
+        meta = {"columns": self.matrix.columns, "categories": self.matrix.categories, "threshold": self.threshold,
+                "calibrator": self.calibrator.method if self.calibrator else None, "windows": fm.windows,
+                "night_hours": list(fm.night_hours), "age_fill": fm.age_fill, "time_col": fm.time_col}
+        sinks.write_report(spark, meta, f"{path}/manifest")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "TrainedModel":
+        meta = json.loads(spark.read.text(f"{path}/manifest").first()[0])
+        fm = features.FeatureModel(encoders.Encoders.load(spark, f"{path}/encoders"), windows=meta["windows"],
+                                   night_hours=tuple(meta["night_hours"]), age_fill=meta["age_fill"], time_col=meta["time_col"])
+        calibrator = calibration.Calibrator.load(f"{path}/calibrator", meta["calibrator"]) if meta["calibrator"] else None
+        return cls(fm, trees.Matrix(meta["columns"], meta["categories"]), GBTClassificationModel.load(f"{path}/trees"),
+                   calibrator, meta["threshold"])
+
+
+def load_train_test(spark, path: str, test_share: float = 0.2):
+    """A folder of splits as written, or a single file that is cut by time."""
+    if not path.endswith((".csv", ".parquet")):
+        return tx.read_splits(spark, path)
+    raw = tx.read_table(spark, path)
+    rows = raw if "trans_ts" in raw.columns else tx.parse_times(raw)
+    both = splits.hold_out(rows, test_share, names=("train", "test"))
+    splits.assert_chronological(both, ("train", "test"))
+    return splits.take_fold(both, "train"), splits.take_fold(both, "test")
+
+
 def engineered_folds(transactions: DataFrame, train_share: float = splits.TRAIN_SHARE,
                      val_share: float = splits.VALIDATION_SHARE, **options) -> tuple[features.FeatureModel, DataFrame]:
     """Features of all folds in one pass, with `fold`; written to the shared folder for repeated use.
@@ -51,6 +87,7 @@ def engineered_folds(transactions: DataFrame, train_share: float = splits.TRAIN_
     model.keep = (*EXTRA, "fold")
     names = model.names(folded)
     out = model.add_all(folded).select(*model.keep, *names, TARGET)
+    model.keep = ("trans_num",)
     return model, checkpointed(out)
 
 

@@ -55,6 +55,12 @@ def test_reasons_are_ordered(fitted):
         assert {"gender"} >= {r["feature"] for r in row["reasons"] if r["value"] in ("F", "M")}
 
 
+def test_split_counts(fitted, spark):
+    _, matrix, model = fitted
+    counts = trees.split_counts(model, matrix, spark).toPandas()
+    assert counts.splits.sum() == sum((t.numNodes - 1) // 2 for t in model.trees) and len(counts) == len(matrix.columns)
+
+
 def test_importance_tables(fitted, spark):
     engineered, matrix, model = fitted
     gain = trees.split_importance(model, matrix, spark).toPandas()
@@ -93,6 +99,24 @@ def test_training_job_and_records(transactions, spark, tmp_path):
         runs.resolve(spark, versions, "fraud", "none")
 
 
+def test_model_round_trip(transactions, spark, tmp_path):
+    trained = training.train(transactions, {"maxIter": 2, "maxDepth": 2, "stepSize": 0.3})
+    trained.save(spark, str(tmp_path / "m"))
+    again = training.TrainedModel.load(spark, str(tmp_path / "m"))
+    rows = lambda m: sorted(m.score_features(m.features.transform(transactions)).collect())
+    assert rows(trained) == rows(again) and again.threshold == trained.threshold
+
+
+def test_load_splits_or_file(transactions, spark, tmp_path):
+    sinks.write_splits(splits.train_test(transactions), str(tmp_path / "splits"))
+    transactions.write.parquet(str(tmp_path / "all.parquet"))
+    for path in ("splits", "all.parquet"):
+        train, test = training.load_train_test(spark, str(tmp_path / path))
+        assert (train.count(), test.count()) == (800, 200)
+    with pytest.raises(Exception):
+        training.load_train_test(spark, str(tmp_path / "none"))[0].count()
+
+
 def test_search_is_seeded_and_in_range():
     import random
     a, b = tuning.draw(random.Random(1)), tuning.draw(random.Random(1))

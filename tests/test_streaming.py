@@ -94,3 +94,20 @@ def test_stream_scoring(spark, transactions):
     assert out[out.trans_num == 5].warnings.iloc[0].tolist() == [online.NO_INPUT_WARNING]
     assert set(out.decision) <= {"fraud", "not_fraud"}
     assert (out.latency_ms >= 0).all()
+
+
+def test_idle_cards_expire(spark, transactions):
+    import time
+    folder, out, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
+    one = transactions.filter("trans_num < 20").withColumn("cc_num", F.lit(7).cast("long"))
+
+    def step(low, high):
+        one.filter(F.col("trans_num").between(low, high)).coalesce(1).write.mode("append").parquet(folder)
+        s = online.with_online_features(online.read_stream(spark, folder, one.schema, "parquet"), expiry_ms=4000)
+        return {r["trans_num"]: r["cold_start"] for r in online.run_to_end(s, out, state, 120).collect()}
+
+    assert sum(step(0, 9).values()) == 1
+    time.sleep(6)
+    # Longer than the expiry without a write: the whole list is gone.
+    after = step(10, 19)
+    assert [after[i] for i in range(10, 20)].count(True) == 1 and after[10]
