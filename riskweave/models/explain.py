@@ -18,6 +18,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.models.trees import Matrix, saved_nodes
+from riskweave.session import ship_package
 
 # A leaf table has 2 ** (features on its path) entries.
 MAX_PATH_FEATURES = 12
@@ -52,6 +53,7 @@ def _leaf_table(value: float, shares: Sequence[float]) -> np.ndarray:
 
 def read_leaves(model: GBTClassificationModel, spark) -> tuple[list[Leaf], float]:
     """Leaves of all trees, scaled to log-odds, and the expected log-odds. Size depends on the model only."""
+    ship_package(spark)
     nodes: dict[int, dict[int, object]] = {}
     for row in saved_nodes(model, spark).collect():
         nodes.setdefault(row["treeID"], {})[row["id"]] = row

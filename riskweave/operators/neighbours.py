@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskweave.session import checkpointed
+from riskweave.session import checkpointed, ship_package
 
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
@@ -185,6 +185,7 @@ def nearest(queries: DataFrame, points: DataFrame, id_col: str, columns: Sequenc
 
     Ids are long and unique; a query's own id is never its neighbour.
     """
+    ship_package(queries.sparkSession)
     total = points.count()
     if total == 0:
         return queries.sparkSession.createDataFrame([], "id long, neighbour long, d2 double, place int")

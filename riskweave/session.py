@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,8 +19,7 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording a Python call site per column expression dominates planning time of wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
 
@@ -30,6 +33,19 @@ def build_session(master: str | None = None, app: str = "riskweave", **conf: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have it installed."""
+    context, name = spark.sparkContext, "riskweave.zip"
+    if name in context._python_includes:
+        return
+    package = Path(__file__).resolve().parent
+    # The stateful operator also starts a Python process beside the driver, which gets no shipped files.
+    paths = [str(package.parent), context.environment.get("PYTHONPATH", "")]
+    context.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
+    target = Path(tempfile.mkdtemp(prefix="riskweave-code-")) / "riskweave"
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; only where none is named (tests) a temporary one."""
     current = spark.conf.get("spark.checkpoint.dir", None)

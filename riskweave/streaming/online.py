@@ -18,7 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from riskweave import schema
 from riskweave.functions import scalar
 from riskweave.models import explain
+from riskweave.operators.features import calendar_features
 from riskweave.plans.training import TrainedModel
+from riskweave.session import ROCKSDB, ship_package
 
 # Fixed values.
 MAX_HISTORY = 100
@@ -128,6 +130,7 @@ def quarantine(transactions: DataFrame) -> DataFrame:
 def with_online_features(transactions: DataFrame, max_history: int = MAX_HISTORY,
                          expiry_ms: int | None = IDLE_EXPIRY_MS, digits: int | None = 2) -> DataFrame:
     """Add online features and `cold_start` to a stream; transactions without usable history input are left out."""
+    ship_package(transactions.sparkSession)
     rows = with_clock(transactions).filter(valid_input())
     shape = T.StructType([*rows.schema.fields, *ONLINE_COLUMNS.fields, T.StructField("cold_start", T.BooleanType())])
     return rows.groupBy("cc_num").transformWithStateInPandas(
@@ -169,7 +172,6 @@ def score_stream(transactions: DataFrame, trained: TrainedModel, top: int = 5, *
     if "dob" in frame.columns:
         fill = F.lit(fm.age_fill).cast("double")
         frame = frame.withColumn("age", F.coalesce(F.round(scalar.age_years(fm.time_col, "dob"), 1), fill))
-    from riskweave.operators.features import calendar_features
     frame = fm.encoders.transform(calendar_features(frame, fm.time_col, fm.night_hours))
 
     matrix = trained.matrix
@@ -195,14 +197,17 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 def run_to_end(df: DataFrame, path: str, checkpoint: str, timeout_s: int = 600) -> DataFrame:
     """Run a stream over the data at hand and read back what it wrote."""
     spark = df.sparkSession
-    name = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(name)
-    # Expiring state would otherwise keep an available-now query alive with empty batches.
-    spark.conf.set(name, "false")
+    # Expiring state would otherwise keep an available-now query alive with empty batches; list state
+    # needs the RocksDB store. A query keeps the settings it was started with.
+    wanted = {"spark.sql.streaming.noDataMicroBatches.enabled": "false", "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         query = write_stream(df, path, checkpoint, available_now=True)
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     if not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s} s")
