@@ -24,7 +24,7 @@ from riskweave.session import checkpointed, ship_package
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
 MAX_PIVOTS = 512
-MAX_BLOCKS = 100_000
+MAX_BLOCKS = 400_000
 
 
 @dataclass

@@ -171,7 +171,22 @@ held as (select trans_num, count(*) as held from near group by 1),
 picked as (select c.*, {_hash("concat(c.trans_num, ':', c.copy, ':u:42')")} as u,
    1 + floor({_hash("concat(c.trans_num, ':', c.copy, ':n:42')")} * held) as place from copies c join held using (trans_num))"""
 
+
+
+def _newton(steps: int) -> str:
+    """Unrolled Newton steps of the two-parameter logistic fit on smoothed targets."""
+    out = """, n as (select sum(y) as n1, count(*) - sum(y) as n0 from s),
+t as (select p_tied as x, count(*) as w, sum(y) * max((n1 + 1e0) / (n1 + 2e0)) + (count(*) - sum(y)) * max(1e0 / (n0 + 2e0)) as soft from s, n group by 1),
+w0 as (select 0e0 as a, 0e0 as b)"""
+    for i in range(steps):
+        out += f""", m{i} as (select max(a) as a, max(b) as b, sum(w * q * (1 - q) * x * x) as xx, sum(w * q * (1 - q) * x) as x1, sum(w * q * (1 - q)) as one,
+  sum((soft - w * q) * x) as gx, sum(soft - w * q) as g1 from (select *, 1e0 / (1e0 + exp(-(a * x + b))) as q from t, w{i})),
+w{i + 1} as (select a + (one * gx - x1 * g1) / (xx * one - x1 * x1) as a, b + (xx * g1 - x1 * gx) / (xx * one - x1 * x1) as b from m{i})"""
+    return out
+
+
 ORACLES: dict[str, str] = {
+    "platt_calibration": _round("select id, 1e0 / (1e0 + exp(-(a * p_tied + b))) as p_cal from s, w12", "p_cal", "id", 4, SCORES + _newton(12)),
     "online_features_replay": _round("select * from online", _ONLINE_DOUBLES, "trans_num, txn_count_1h, txn_count_24h, cold_start", 2, _ONLINE),
     "stream_online_features": _round("select * from online", _ONLINE_DOUBLES, "trans_num, txn_count_1h, txn_count_24h, cold_start", 2, _ONLINE),
     "online_overwrite": _round(f"""select cast(txn_count_1h as double) as txn_count_1h, cast(txn_count_24h as double) as txn_count_24h, amt_hist_mean, o.* exclude (txn_count_1h, txn_count_24h)
