@@ -21,48 +21,63 @@ VELOCITY_WINDOWS_H = {"1h": 1, "24h": 24}
 NULL_KEY_SPREAD = 4096
 
 
-def _marks(df: DataFrame, key: str, time_col: str, tie: str, amount: str, lat: str, lon: str,
-           windows: Mapping[str, float], chunks: keyed_chunks.KeyChunks) -> DataFrame:
+def _base(df: DataFrame, key: str, time_col: str, tie: str, amount: str, lat: str, lon: str) -> DataFrame:
+    return df.select(
+        F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+        F.col(key).alias(key), micros(time_col).alias("_us"), F.col(tie).alias("_tie"),
+        F.when(F.col(key).isNotNull(), nan_to_null(amount)).alias("_amt"),
+        nan_to_null(lat).alias("_lat"), nan_to_null(lon).alias("_lon")).withColumn("_salt", _null_key_salt(key))
+
+
+def _moments(windows: Mapping[str, float]) -> list[tuple[int, Column]]:
+    """When a transaction enters (kind 0) and when it leaves each window (kind 1, 2, ...)."""
+    return [(0, F.col("_us"))] + [(i, F.col("_us") + F.lit(int(hours * MICROS_PER_HOUR)))
+                                  for i, hours in enumerate(windows.values(), start=1)]
+
+
+def _changes(n_windows: int) -> list[Column]:
+    """What a mark adds to each window's count and sum, and to the row statistics."""
+    kind, amt = F.col("_m.kind"), F.col("_amt")
+    cols = [F.when(kind == 0, amt).alias("_x")]
+    for i in range(1, n_windows + 1):
+        sign = F.when(kind == 0, 1).when(kind == i, -1)
+        cols += [F.when(amt.isNotNull(), sign).alias(f"_n{i}"), (sign * amt).alias(f"_s{i}")]
+    return cols
+
+
+def _marks(base: DataFrame, key: str, windows: Mapping[str, float], chunks: keyed_chunks.KeyChunks) -> DataFrame:
     """One row per transaction plus one per window at the moment the transaction leaves it.
 
     The rows arrive partitioned by (card, salt, chunk), so the windows add no exchange.
     """
-    base = df.select(
-        F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
-        F.col(key).alias(key), micros(time_col).alias("_us"), F.col(tie).alias("_tie"),
-        F.when(F.col(key).isNotNull(), nan_to_null(amount)).alias("_amt"),
-        nan_to_null(lat).alias("_lat"), nan_to_null(lon).alias("_lon"))
-    base = base.withColumn("_salt", _null_key_salt(key))
-    own = F.struct(F.lit(0).alias("kind"), F.col("_us").alias("at"))
-    leaving = [F.struct(F.lit(i).alias("kind"), (F.col("_us") + F.lit(int(hours * MICROS_PER_HOUR))).alias("at"))
-               for i, hours in enumerate(windows.values(), start=1)]
+    moments = _moments(windows)
     if chunks.any_hot:
         # A leave mark of a hot card may belong to a later chunk, so it has to travel on its own;
         # those of ordinary cards are made after the exchange.
-        base = chunks.attach(base).withColumn("_hot", F.col("_chunks").isNotNull())
-        base = base.withColumn("_m", F.explode(F.when(F.col("_hot"), F.array(own, *leaving)).otherwise(F.array(own))))
-        base = base.withColumns({"_chunk": chunks.chunk_of(F.col("_m.at")), "_row": F.when(F.col("_m.kind") == 0, F.col("_row"))})
-        base = base.drop("_t0", "_cell", "_chunks").repartition(key, "_salt", "_chunk")
-        mine = F.when(F.col("_hot"), F.array(F.col("_m"))).otherwise(F.array(own, *leaving))
-        marks = base.withColumn("_m", F.explode(mine))
+        base = chunks.attach(base)
+        travelling = [_moment(kind, at, chunks.chunk_of(at)) for kind, at in moments]
+        hot = F.col("_chunks").isNotNull()
+        # The chunk array must not be carried through the explode.
+        base = base.select(*[c for c in base.columns if c not in chunks.COLUMNS], hot.alias("_hot"),
+                           F.when(hot, F.array(*travelling)).otherwise(F.array(travelling[0])).alias("_ms"))
+        base = base.withColumn("_m", F.explode("_ms")).drop("_ms").withColumns(
+            {"_chunk": F.col("_m.chunk"), "_row": F.when(F.col("_m.kind") == 0, F.col("_row"))})
+        base = base.repartition(key, "_salt", "_chunk")
     else:
-        base = base.withColumns({"_chunk": F.lit(0), "_hot": F.lit(False)}).repartition(key, "_salt")
-        marks = base.withColumn("_m", F.explode(F.array(own, *leaving)))
+        base = base.withColumns({"_chunk": F.lit(0), "_hot": F.lit(False), "_m": _moment(*moments[0], F.lit(0))})
+        base = base.repartition(key, "_salt")
+    rest = F.array(F.col("_m"), *[_moment(kind, at, F.lit(0)) for kind, at in moments[1:]])
+    marks = base.withColumn("_m", F.explode(F.when(F.col("_hot"), F.array(F.col("_m"))).otherwise(rest)))
     is_row = F.col("_m.kind") == 0
-    known = is_row & F.col(key).isNotNull()
-    cols = [
-        F.col(key), F.col("_chunk"), F.col("_salt"), F.col("_hot"),
-        F.col("_m.kind").alias("_kind"), F.col("_m.at").alias("_at"),
-        F.when(is_row, F.col("_tie")).alias("_tie"),
-        F.when(is_row, F.col("_row")).alias("_row"),
-        F.when(known, F.struct("_lat", "_lon", "_us")).alias("_point"),
-        F.when(is_row, F.col("_amt")).alias("_x"),
-    ]
-    for i in range(1, len(windows) + 1):
-        sign = F.when(is_row, 1).when(F.col("_m.kind") == i, -1)
-        cols.append(F.when(F.col("_amt").isNotNull(), sign).alias(f"_n{i}"))
-        cols.append((sign * F.col("_amt")).alias(f"_s{i}"))
-    return marks.select(*cols)
+    return marks.select(
+        F.col(key), F.col("_chunk"), F.col("_salt"), F.col("_m.kind").alias("_kind"), F.col("_m.at").alias("_at"),
+        F.when(is_row, F.col("_tie")).alias("_tie"), F.when(is_row, F.col("_row")).alias("_row"),
+        F.when(is_row & F.col(key).isNotNull(), F.struct("_lat", "_lon", "_us")).alias("_point"),
+        *_changes(len(windows)))
+
+
+def _moment(kind: int, at: Column, chunk: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), at.alias("at"), chunk.cast("int").alias("chunk"))
 
 
 def _null_key_salt(key: str) -> Column:
@@ -70,13 +85,24 @@ def _null_key_salt(key: str) -> Column:
     return F.when(F.col(key).isNull(), F.pmod(F.xxhash64("_tie"), F.lit(NULL_KEY_SPREAD)).cast("int")).otherwise(0)
 
 
-def _chunk_offsets(marks: DataFrame, key: str, n_windows: int) -> DataFrame:
-    """State of a hot card at the start of each of its chunks."""
-    totals = marks.filter("_hot").groupBy(key, "_chunk").agg(
-        F.count("_x").alias("n"), F.avg("_x").alias("mean"),
-        (F.var_pop("_x") * F.count("_x")).alias("m2"),
-        F.max(F.when(F.col("_point").isNotNull(), F.struct("_at", "_tie", "_point"))).alias("last"),
+def _chunk_offsets(base: DataFrame, key: str, windows: Mapping[str, float], chunks: keyed_chunks.KeyChunks) -> DataFrame:
+    """State of a hot card at the start of each of its chunks.
+
+    Rows of hot cards are summed where they are read; only chunk totals are exchanged.
+    """
+    n_windows = len(windows)
+    rows = base.select(key, "_us", "_tie", "_amt", "_lat", "_lon").join(F.broadcast(chunks.table), key)
+    marks = rows.select(key, "_amt", F.array(*[_moment(kind, at, chunks.chunk_of(at)) for kind, at in _moments(windows)]).alias("_ms"))
+    marks = marks.select(key, "_amt", F.explode("_ms").alias("_m")).select(key, F.col("_m.chunk").alias("_chunk"), *_changes(n_windows))
+    totals = marks.groupBy(key, "_chunk").agg(
+        F.count("_x").alias("n"), F.avg("_x").alias("mean"), (F.var_pop("_x") * F.count("_x")).alias("m2"),
         *[F.sum(f"_{p}{i}").alias(f"{p}{i}") for i in range(1, n_windows + 1) for p in ("n", "s")])
+    # The last point: first the latest time per chunk, then the highest id among the rows at that time.
+    points = rows.select(key, chunks.chunk_of(F.col("_us")).alias("_chunk"), "_us", "_tie", "_lat", "_lon")
+    latest = points.groupBy(key, "_chunk").agg(F.max("_us").alias("_us"))
+    last = points.join(F.broadcast(latest), [key, "_chunk", "_us"]).groupBy(key, "_chunk").agg(
+        F.max(F.struct("_tie", F.struct("_lat", "_lon", "_us").alias("_point"))).alias("last"))
+    totals = totals.join(last, [key, "_chunk"], "left")
     per_key = Window.partitionBy(key)
     before = per_key.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     # Chunk means are taken relative to the card's own mean so that squares stay small.
@@ -106,7 +132,8 @@ def history_features(df: DataFrame, key: str = "cc_num", time_col: str = "trans_
     windows = dict(VELOCITY_WINDOWS_H if windows is None else windows)
     order = df.select(F.col(key), micros(time_col).alias("_us"))
     chunks = keyed_chunks.find_chunks(order, key, "_us", hot_share, min_hot_rows)
-    marks = _marks(df, key, time_col, tie, amount, lat, lon, windows, chunks)
+    base = _base(df, key, time_col, tie, amount, lat, lon)
+    marks = _marks(base, key, windows, chunks)
 
     part = Window.partitionBy(key, "_salt", "_chunk") if chunks.any_hot else Window.partitionBy(key, "_salt")
     by_row = part.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
@@ -124,7 +151,7 @@ def history_features(df: DataFrame, key: str = "cc_num", time_col: str = "trans_
 
     if chunks.any_hot:
         # At most 2/hot_share rows: one per chunk of a hot card.
-        out = out.join(F.broadcast(_chunk_offsets(marks, key, len(windows))), [key, "_chunk"], "left")
+        out = out.join(F.broadcast(_chunk_offsets(base, key, windows, chunks)), [key, "_chunk"], "left")
         on, ln = F.coalesce("_on", F.lit(0)), F.col("_ln")
         n = on + ln
         gap = F.col("_lmean") - F.col("_omean")

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweave.session import checkpointed
+
 HOT_SHARE = 1.0 / 1000
 MIN_HOT_ROWS = 1_000_000
 CELLS = 4096
@@ -20,6 +22,8 @@ CELLS = 4096
 class KeyChunks:
     """Chunk table of the hot keys, or none when every key fits a task."""
 
+    COLUMNS = ("_t0", "_cell", "_chunks")
+
     def __init__(self, key: str, table: DataFrame | None):
         self.key = key
         self.table = table
@@ -68,4 +72,5 @@ def find_chunks(df: DataFrame, key: str, order: str,
                .withColumn("_chunk", F.floor(F.coalesce(F.sum("_n").over(running), F.lit(0)) / F.lit(limit)).cast("int")))
     dense = chunked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", "_chunk"))).alias("_p")).select(
         key, F.transform("_p", lambda s: s["_chunk"]).alias("_chunks"))
-    return KeyChunks(key, span.join(dense, key))
+    # Read by several parts of a plan: written once.
+    return KeyChunks(key, checkpointed(span.join(dense, key)))
