@@ -97,11 +97,11 @@ def feature_columns(engineered: DataFrame) -> list[str]:
 
 def train(transactions: DataFrame, params: dict | None = None, tune_trials: int = 0, tune_timeout_s: float | None = None,
           tune_share: float | None = None, calibration_method: str = "auto", cost: costs.CostMatrix = AMOUNT_AWARE,
-          amount: str | None = "amt", floor: float = ranking.PRECISION_FLOOR, reference_refit: bool = False,
+          amount: str | None = "amt", floor: float = ranking.PRECISION_FLOOR, refit_with_validation: bool = False,
           feature_options: dict | None = None) -> TrainedModel:
     """Split, engineer, (tune,) fit, calibrate, choose a threshold, refit and report on the test fold.
 
-    By default the model is refit on fit + val only when `reference_refit` is set, because the
+    By default the model is refit on fit + val only when `refit_with_validation` is set, because the
     calibration fold would then be part of its training rows.
     """
     model, engineered = engineered_folds(transactions, **(feature_options or {}))
@@ -127,7 +127,7 @@ def train(transactions: DataFrame, params: dict | None = None, tune_trials: int
     report["validation"] = point
     threshold = point["threshold"]
 
-    if reference_refit:
+    if refit_with_validation:
         both = fit.unionByName(val)
         booster = trees.fit_trees(both, matrix, TARGET, imbalance.class_weight(both), **params)
         again = trees.score(booster, matrix, val, keep).withColumnRenamed(TARGET, "y")

@@ -132,3 +132,9 @@ def test_timeout_keeps_the_first_trial(fitted):
     ticks = iter(range(0, 1000, 100))
     best, history = tuning.search(fit, val, matrix, trials=5, timeout_s=50, space=space, clock=lambda: next(ticks))
     assert len(history) == 1 and best == history[0]["params"]
+
+
+def test_refit_with_validation_rows(transactions):
+    trained = training.train(transactions, {"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}, calibration_method="sigmoid",
+                             refit_with_validation=True)
+    assert trained.calibrator.method == "sigmoid" and 0 <= trained.report["test"]["roc_auc"] <= 1
