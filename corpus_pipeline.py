@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import bpe, langid, latent, ordermin, secrets
-from riskweave.llm.queries import VOCABULARY
+from riskweave.llm.queries import vocabulary
 from riskweave.llm.tables import table
 from riskweave.session import scratch_path, ship_package
 
@@ -55,7 +55,7 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of every document that is left."""
     ship_package(spark)
-    return bpe.digests(docs, VOCABULARY)
+    return bpe.digests(docs, vocabulary())
 
 
 STAGES = [

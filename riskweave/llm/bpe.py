@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -24,8 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the pattern that byte-level vocabularies of this kind split words with.
+from riskweave.llm.words import _hash_runs, codepoints
+
+# Fixed value: the pattern that byte-level vocabularies of this kind split words with. `word_starts` finds the
+# same words for whole arrays of code points.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_OTHER, _LETTER, _NUMBER, _SPACE, _EDGE = range(5)
 KEPT_WORDS = 400_000  # words whose ids a worker remembers; they are forgotten all at once
 STRETCH = 1 << 19  # code points of text whose new words are merged together
 
@@ -37,6 +41,69 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@cache
+def classes() -> np.ndarray:
+    """The class of every code point as the pattern sees it."""
+    every = "".join(map(chr, range(0x110000)))
+    table = np.full(0x110000, _OTHER, np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            table[found.start() : found.end()] = kind
+    return table
+
+
+def word_starts(codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where the pattern's words begin; the last place of `kind` must be an edge, and edges are words too.
+
+    A word is a run of one class. It takes a blank right before it along; other white space is a word of its
+    own, without its last character where a word follows. An apostrophe that no blank precedes takes one of
+    the fixed endings along.
+    """
+    change = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    first = np.concatenate(([0], change))
+    starts = np.zeros(len(kind), bool)
+    starts[first] = True
+    starts[kind == _EDGE] = True
+    # White space before a word: its last character starts anew.
+    space_end = change[(kind[change - 1] == _SPACE) & (kind[change] != _EDGE)]
+    starts[space_end - 1] = True
+    joined = space_end[codes[space_end - 1] == 32]
+    starts[joined] = False
+    # Apostrophe and ending: the apostrophe alone in its run, no blank joined to it.
+    mark = np.flatnonzero((codes[:-1] == 39) & starts[:-1] & (kind[1:] == _LETTER) & (kind[:-1] == _OTHER))
+    if len(mark):
+        a, b = codes[mark + 1], codes[np.minimum(mark + 2, len(codes) - 1)]
+        one = np.isin(a, [ord(c) for c in "stmd"])
+        two = ((a == ord("r")) & (b == ord("e"))) | ((a == ord("v")) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l")))
+        two &= kind[np.minimum(mark + 2, len(codes) - 1)] == _LETTER
+        size = np.where(one, 1, np.where(two, 2, 0))
+        mark, size = mark[size > 0], size[size > 0]
+        starts[mark + 1] = False
+        after = mark + 1 + size
+        starts[after[kind[after] == _LETTER]] = True
+    return np.flatnonzero(starts)
+
+
+class _Ragged:
+    """Rows of different lengths in one flat array."""
+
+    def __init__(self, dtype):
+        self.flat, self.start, self.size = np.zeros(0, dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def rows(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the wanted rows one after the other, the end of each)."""
+        size = self.size[wanted]
+        end = np.cumsum(size)
+        place = np.arange(int(end[-1]) if len(end) else 0)
+        place += np.repeat(self.start[wanted] - (end - size), size)
+        return self.flat[place], end
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file (byte-level BPE)."""
 
@@ -60,11 +127,13 @@ class Codec:
         order = np.argsort(keys, kind="stable")
         # Sorted pair keys with the rank of each; what the pair of a rank becomes.
         self.keys, self.rank, self.product = keys[order], order, np.asarray(merged, np.int64)
-        self.words = regex.compile(PATTERN)
         self.cuts = regex.compile("|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True))) if self.special else None
-        # What is known of a word: its ids in decimal, and the bytes they decode to. Special tokens are words of their own.
-        self.ids = {x: str(i) for x, i in self.special.items()}
-        self.bytes = {x: self.token[i] for x, i in self.special.items()}
+        self.decimal, self.plain = _Ragged(np.uint8), _Ragged(np.uint8)
+        most = max(self.token)
+        for table, row in ((self.decimal, lambda i: b"%d," % i), (self.plain, lambda i: self.token.get(i, b""))):
+            rows = [row(i) for i in range(most + 1)]
+            table.add(np.frombuffer(b"".join(rows), np.uint8), np.asarray([len(x) for x in rows], np.int64))
+        self._forget()
 
     def _ranks(self, symbol: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rank of the pairs that begin at places `at`; those without one, or across words, get the end rank."""
@@ -113,14 +182,88 @@ class Codec:
         order = np.argsort(owner, kind="stable")
         return every[order], np.bincount(owner, minlength=len(words))
 
-    def _learn(self, words: list[str]) -> None:
-        ids, counts = self.merge([w.encode("utf-8", "surrogatepass") for w in words])
-        every, token, start = ids.tolist(), self.token, 0
-        text = list(map(str, every))
-        for word, end in zip(words, np.cumsum(counts).tolist()):
-            self.ids[word] = ",".join(text[start:end])
-            self.bytes[word] = b"".join([token[i] for i in every[start:end]])
-            start = end
+    def _forget(self) -> None:
+        """Known words by hash, and their ids; the first rows are the special tokens."""
+        self.known: dict[int, int] = {}
+        self.ids = _Ragged(np.int64)
+        every = np.asarray(list(self.special.values()), np.int64)
+        self.ids.add(every, np.ones(len(every), np.int64))
+
+    def _rows_of(self, joined: str, start: np.ndarray, end: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The row of `ids` for each word; new words are merged together."""
+        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
+        if len(self.known) + len(distinct) > KEPT_WORDS:
+            self._forget()
+        keys = distinct.tolist()
+        found = list(map(self.known.get, keys))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            at = first[new]
+            words = [joined[s:e].encode("utf-8", "surrogatepass") for s, e in zip(start[at].tolist(), end[at].tolist())]
+            ids, size = self.merge(words)
+            row = len(self.ids.size)
+            self.ids.add(ids, size)
+            for i in new:
+                self.known[keys[i]] = found[i] = row
+                row += 1
+        return np.asarray(found, np.int64)[which]
+
+    def _encode_pieces(self, pieces: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, end of each piece's ids). Pieces are cut at special tokens, which are pieces too."""
+        joined = "".join([f"{'' if special else text}\0" for text, special in pieces])
+        codes = codepoints(joined)
+        edge = np.cumsum([1 if special else len(text) + 1 for text, special in pieces]) - 1
+        kind = classes()[codes]
+        kind[edge] = _EDGE
+        start = word_starts(codes, kind)
+        end = np.append(start[1:], len(codes))
+        words = kind[start] != _EDGE
+        row = np.full(len(start), -1, np.int64)
+        if words.any():
+            s, e = start[words], end[words]
+            row[words] = self._rows_of(joined, s, e, _hash_runs(codes, s, e))
+        order = {x: i for i, x in enumerate(self.special)}
+        mark = np.flatnonzero(~words)
+        row[mark] = [order[text] if special else -1 for text, special in pieces]
+        ends = np.zeros(len(pieces), np.int64)
+        kept = row >= 0
+        ids, id_end = self.ids.rows(row[kept])
+        upto = np.cumsum(kept)[mark]
+        ends[upto > 0] = id_end[upto[upto > 0] - 1]
+        return ids, ends
+
+    def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bytes, bytes]]:
+        """For each text: its ids, the same in decimal joined by commas, and the bytes they decode to.
+
+        Words are told apart by a 64-bit hash. As every vocabulary of this kind decodes to what was encoded, a
+        text that does not come back has met a hash collision and is encoded alone with nothing remembered.
+        """
+        for group in _stretches(texts):
+            cut = [self._pieces(t) or [("", False)] for t in group]
+            ids, ends = self._encode_pieces([p for pieces in cut for p in pieces])
+            ends = ends[np.cumsum([len(x) for x in cut]) - 1]
+            number, number_end = self.decimal.rows(ids)
+            plain, plain_end = self.plain.rows(ids)
+            number, plain = number.tobytes(), plain.tobytes()
+            lo = at_number = at_plain = 0
+            for text, hi in zip(group, ends.tolist()):
+                end_number = int(number_end[hi - 1]) if hi else 0
+                end_plain = int(plain_end[hi - 1]) if hi else 0
+                back = plain[at_plain:end_plain]
+                if back == text.encode("utf-8", "surrogatepass"):
+                    yield ids[lo:hi], number[at_number : max(at_number, end_number - 1)], back
+                else:
+                    yield self._alone(text)
+                lo, at_number, at_plain = hi, end_number, end_plain
+
+    def _alone(self, text: str) -> tuple[np.ndarray, bytes, bytes]:
+        ids: list[int] = []
+        for piece, special in self._pieces(text):
+            if special:
+                ids.append(self.special[piece])
+            else:
+                ids += self.merge([w.encode("utf-8", "surrogatepass") for w in regex.findall(PATTERN, piece)])[0].tolist()
+        return np.asarray(ids, np.int64), ",".join(map(str, ids)).encode(), b"".join([self.token[i] for i in ids])
 
     def _pieces(self, text: str) -> list[tuple[str, bool]]:
         """The text cut at special tokens: (piece, whether it is one)."""
@@ -136,26 +279,9 @@ class Codec:
             out.append((text[at:], False))
         return out
 
-    def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[str, int, bytes]]:
-        """For each text: its ids in decimal, joined by commas, their number, and the bytes they decode to."""
-        for group in _stretches(texts):
-            cut = [[([p] if s else self.words.findall(p)) for p, s in self._pieces(t)] for t in group]
-            distinct = set().union(*(words for pieces in cut for words in pieces))
-            new = distinct.difference(self.ids)
-            if len(new) + len(self.ids) > KEPT_WORDS:
-                self.ids = {x: str(i) for x, i in self.special.items()}
-                self.bytes = {x: self.token[i] for x, i in self.special.items()}
-                new = distinct.difference(self.ids)
-            if new:
-                self._learn(sorted(new))
-            for pieces in cut:
-                words = pieces[0] if len(pieces) == 1 else [w for piece in pieces for w in piece]
-                ids = ",".join(map(self.ids.__getitem__, words))
-                yield ids, ids.count(",") + 1 if words else 0, b"".join(map(self.bytes.__getitem__, words))
-
     def encode(self, text: str) -> list[int]:
         (ids, _, _), = self.encode_texts([text])
-        return [int(x) for x in ids.split(",")] if ids else []
+        return ids.tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.token[i] for i in ids]).decode("utf-8", "replace")
@@ -185,9 +311,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         own = codec(path)
         for batch in batches:
             count, ids_digest, text_digest = [], [], []
-            for ids, n, decoded in own.encode_texts(batch.column("text").to_pylist()):
-                count.append(n)
-                ids_digest.append(sha256(ids.encode()).hexdigest())
+            for ids, decimal, decoded in own.encode_texts(batch.column("text").to_pylist()):
+                count.append(len(ids))
+                ids_digest.append(sha256(decimal).hexdigest())
                 text_digest.append(sha256(decoded.decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids_digest, pa.string()),
@@ -204,12 +330,11 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                ids = [np.asarray(x.split(","), np.int32) if x else np.zeros(0, np.int32)
-                       for x, _, _ in own.encode_texts(part.column("text").to_pylist())]
+                ids = [x for x, _, _ in own.encode_texts(part.column("text").to_pylist())]
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))], ["doc_id", "ids"])
+                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 

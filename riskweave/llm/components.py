@@ -24,8 +24,7 @@ def components(links: DataFrame) -> DataFrame:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.node == near.a).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        step = checkpointed(step)
-        jump = step.select(F.col("node").alias("target"), F.col("label").alias("final"))
+        jump = labels.select(F.col("node").alias("target"), F.col("label").alias("final"))
         step = checkpointed(step.join(jump, step.label == jump.target).select(
             "node", "old", F.least("label", "final").alias("label")))
         labels = step.select("node", "label")

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, latent, ordermin, secrets
+from riskweave.llm import bpe, langid, latent, licences, ordermin, permutation, resample, secrets, shards, warc
 from riskweave.llm.tables import table
 
-#: The vocabulary file of the BPE queries; every worker must be able to read it there.
-VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
+
+def vocabulary() -> str:
+    """The vocabulary file of the BPE queries; every worker must be able to read it there."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    whole = F.concat("header", F.lit(warc.END), "block")
+    return records.withColumn("record_sha256", F.sha2(whole.cast("binary"), 256)).drop("header", "block")
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,18 +31,35 @@ def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op4_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"))
 
 
 def op8_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_order_minhash, op3_entropy_secrets, op6_batched_bpe, op8_latent_leaks, op10_rank_order_language)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_warc_derivatives, op2_order_minhash, op3_entropy_secrets, op4_licence_paragraphs, op5_permutation_index,
+    op6_batched_bpe, op7_jump_shards, op8_latent_leaks, op9_importance_sample, op10_rank_order_language)}
+ORACLES: dict[str, str] = {"op7_jump_shards": shards.assign_sql()}

@@ -39,6 +39,14 @@ def letters() -> np.ndarray:
     return table
 
 
+@cache
+def token_kinds() -> np.ndarray:
+    """For each code point: 0 white space, 1 word, 2 any other mark."""
+    table = np.where(word_chars(), 1, 2).astype(np.int8)
+    table[[code for code in range(0x110000) if chr(code).isspace()]] = 0
+    return table
+
+
 @cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     def powers(base: int) -> np.ndarray:
@@ -65,6 +73,16 @@ def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def _tokens(codes: np.ndarray, marks: bool) -> tuple[np.ndarray, np.ndarray]:
+    if not marks:
+        return spans(word_chars()[codes])
+    kind = token_kinds()[codes]
+    start = np.flatnonzero(np.concatenate(([True], kind[1:] != kind[:-1]))) if len(kind) else np.zeros(0, np.int64)
+    end = np.append(start[1:], len(kind))[: len(start)]
+    kept = kind[start] > 0
+    return start[kept], end[kept]
+
+
 def _hash_runs(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     size = 1 << max(16, int(len(codes) - 1).bit_length())
     power, inverse = _powers(size)
@@ -83,10 +101,10 @@ def _cut(text: str) -> Iterator[str]:
         at = end
 
 
-def hash_words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: Iterable[str | None], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the offsets of each text's words (one more than texts).
 
-    A null text has no words.
+    A null text has no words. With `marks`, runs of other characters than white space count as words too.
     """
     hashes: list[np.ndarray] = []
     counts: list[int] = []
@@ -98,7 +116,7 @@ def hash_words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if not group:
             return
         codes = codepoints("\n".join(group))
-        start, end = spans(word_chars()[codes])
+        start, end = _tokens(codes, marks)
         hashes.append(_hash_runs(codes, start, end))
         limits = np.cumsum([len(x) + 1 for x in group])
         counts.extend(np.diff(np.searchsorted(start, limits), prepend=0).tolist())
@@ -111,7 +129,7 @@ def hash_words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
             n = 0
             for piece in _cut(low):
                 codes = codepoints(piece)
-                start, end = spans(word_chars()[codes])
+                start, end = _tokens(codes, marks)
                 hashes.append(_hash_runs(codes, start, end))
                 n += len(start)
             counts.append(n)
