@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskweave.functions.scalar import clip, hour_of_day
-from riskweave.operators.ordered import ROWS_PER_TASK, exact_quantiles, nearest_rank, values_at_ranks
-
-MAX_CLASSES = 1000
+from riskweave.functions.scalar import clip, hour_of_day, nan_to_null
+from riskweave.operators.ordered import ROWS_PER_TASK, exact_quantiles, make_axis, nearest_rank, running_totals, values_at_ranks
 
 
 def missing_audit(df: DataFrame) -> DataFrame:
-    """One row per column: missing count and percentage, from one pass."""
-    names = df.columns
-    counted = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    """One row per column: missing count and percentage, from one pass. NaN counts as missing."""
+    names, fractional = df.columns, {n for n, k in df.dtypes if k in ("double", "float")}
+
+    def missing(c: str):
+        return F.col(c).isNull() | F.isnan(c) if c in fractional else F.col(c).isNull()
+
+    counted = df.agg(F.count("*").alias("_rows"), *[F.count_if(missing(c)).alias(c) for c in names])
     long = counted.unpivot("_rows", names, "column_name", "missing")
     return long.select("column_name", "missing", F.round(F.col("missing") * 100.0 / F.col("_rows"), 2).alias("missing_pct"))
 
@@ -33,6 +35,8 @@ def class_ratio(df: DataFrame, target: str = "is_fraud") -> DataFrame:
 
 
 def describe(df: DataFrame, column: str = "amt", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Count, mean, spread, range and quartiles of `column`; NaN is missing."""
+    df = df.select(nan_to_null(column).alias(column))
     q25, q50, q75 = exact_quantiles(df, column, [0.25, 0.5, 0.75], rows_per_task)
     return df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
                   F.min(column).alias("min"), F.max(column).alias("max")).withColumns(
@@ -40,17 +44,20 @@ def describe(df: DataFrame, column: str = "amt", rows_per_task: int = ROWS_PER_T
 
 
 def by_class(df: DataFrame, column: str = "amt", target: str = "is_fraud", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Mean, median, spread and range of `column` per class."""
+    """Mean, median, spread and range of `column` per class, for all classes in one plan; NaN is missing."""
+    df = df.select(target, nan_to_null(column).alias(column))
     stats = df.groupBy(target).agg(F.count(column).alias("n"), F.avg(column).alias("mean"),
                                    F.stddev_samp(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"))
-    classes = [r[0] for r in df.select(target).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
-    median = F.lit(None).cast("double")
-    for value in classes:
-        here = F.col(target).eqNullSafe(F.lit(value))
-        median = F.when(here, exact_quantiles(df.filter(here), column, [0.5], rows_per_task)[0]).otherwise(median)
-    return stats.withColumn("median", median)
+    known = df.filter(F.col(column).isNotNull()).select(target, F.col(column).alias("_v"))
+    axis = make_axis(known, "_v", rows_per_task)
+    upto = running_totals(known.groupBy(target, "_v").agg(F.count("*").alias("_n")), axis, ["_n"], by=[target])
+    sizes = stats.select(F.col(target).alias("_class"), F.col("n").alias("_all"))
+    ranked = upto.join(sizes, upto[target].eqNullSafe(F.col("_class")))
+    # The median lies halfway between the values at these two ranks, which are one for an odd count.
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
+    median = ranked.groupBy("_class").agg(
+        ((F.min(F.when(F.col("cum__n") >= low, F.col("_v"))) + F.min(F.when(F.col("cum__n") >= high, F.col("_v")))) / 2.0).alias("median"))
+    return stats.join(median, stats[target].eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
 def rate_by_hour(df: DataFrame, time_col: str = "trans_ts", target: str = "is_fraud") -> DataFrame:
@@ -63,13 +70,12 @@ def top_hours(df: DataFrame, top: int = 5, **columns) -> DataFrame:
 
 
 def rate_by_value(df: DataFrame, column: str, target: str = "is_fraud", at_least: int = 0, top: int | None = None) -> DataFrame:
-    """Positive rate and count per value, best first; optional minimum count and head."""
-    out = df.groupBy(column).agg((F.avg(target) * 100.0).alias("rate_pct"), F.count("*").alias("n"))
+    """Positive rate and count per non-null value, best first; optional minimum count and head."""
+    out = df.filter(F.col(column).isNotNull()).groupBy(column).agg((F.avg(target) * 100.0).alias("rate_pct"), F.count("*").alias("n"))
     if at_least:
         out = out.filter(F.col("n") >= at_least)
-    if top is not None:
-        out = out.orderBy(F.desc("rate_pct"), column).limit(top)
-    return out
+    out = out.orderBy(F.desc("rate_pct"), column)
+    return out if top is None else out.limit(top)
 
 
 def distinct_count(df: DataFrame, column: str = "merchant", approximate: bool = False) -> DataFrame:
@@ -106,7 +112,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, shar
     spans = spans.select(*range_keys, (F.col("_lo") - F.when(flat, 0.5).otherwise(0.0)).alias("_lo"),
                          (F.col("_hi") + F.when(flat, 0.5).otherwise(0.0)).alias("_hi"))
     if range_keys:
-        ranged = known.join(F.broadcast(_small(spans)), range_keys)
+        ranged = known.join(spans, range_keys)
     else:
         lo, hi = spans.select("_lo").scalar(), spans.select("_hi").scalar()
         ranged = known.withColumns({"_lo": lo, "_hi": hi})
@@ -124,13 +130,6 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, shar
     return filled.select(*out)
 
 
-def _small(spans: DataFrame) -> DataFrame:
-    """A per-group table whose number of groups was checked."""
-    if len(spans.limit(MAX_CLASSES + 1).collect()) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} groups")
-    return spans
-
-
 def clipped(df: DataFrame, column: str, low_pct: float = 1.0, high_pct: float = 99.0,
             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Replace `column` by its values clipped to two of its percentiles."""

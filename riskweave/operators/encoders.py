@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskweave.session import checkpointed
 
@@ -105,3 +105,22 @@ def fit_encoders(train: DataFrame, target: str = "is_fraud", frequency=FREQUENCY
         table = train.filter(F.col(column).isNotNull()).groupBy(column).agg(*encodings)
         out.tables[column] = checkpointed(table) if materialise else table
     return out
+
+
+def category_table(training: DataFrame, column: str) -> DataFrame:
+    """(column, category_code): every training value with its place in sorted order, however many there are."""
+    values = training.filter(F.col(column).isNotNull()).select(column).distinct()
+    # One row per distinct value, numbered within first letters and shifted by the letters before.
+    values = values.withColumn("_letter", F.substring(column, 1, 1))
+    earlier = Window.orderBy("_letter").rowsBetween(Window.unboundedPreceding, -1)
+    shift = values.groupBy("_letter").count().select("_letter", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_letter").orderBy(column))
+    return values.withColumn("_place", place).join(shift, "_letter").select(
+        column, (F.col("_before") + F.col("_place") - 1).cast("int").alias("category_code"))
+
+
+def with_known_category(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """`column` where training has seen it, else null, and `category_code`, -1 for null and unseen values."""
+    known = table.select(F.col(column).alias("_known"), "category_code")
+    out = df.join(known, F.col(column) == F.col("_known"), "left")
+    return out.withColumns({column: F.col("_known"), "category_code": F.coalesce("category_code", F.lit(-1))}).drop("_known")

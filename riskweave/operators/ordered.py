@@ -62,7 +62,14 @@ def running_totals(grouped: DataFrame, axis: Axis, columns: Sequence[str], desce
         totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
         shift = totals.select(*by, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}")
                                                 for c in columns])
-        out = out.join(F.broadcast(shift), [*by, "_bucket"])
+        # Without groups the offsets are one row per bucket; with groups their number is not known.
+        if by:
+            names = [*by, "_bucket"]
+            shift = shift.withColumnsRenamed({c: f"_s_{c}" for c in names})
+            same = [out[c].eqNullSafe(F.col(f"_s_{c}")) for c in names]
+            out = out.join(shift, same).drop(*[f"_s_{c}" for c in names])
+        else:
+            out = out.join(F.broadcast(shift), "_bucket")
         out = out.withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"_o_{c}") for c in columns})
         out = out.drop(*[f"_o_{c}" for c in columns])
     return out.drop("_bucket")

@@ -6,6 +6,8 @@ the totals at or above it. It is built with one pre-aggregated exchange plus a b
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.operators.ordered import ROWS_PER_TASK, make_axis, running_totals
@@ -14,13 +16,14 @@ from riskweave.operators.ordered import ROWS_PER_TASK, make_axis, running_totals
 PRECISION_FLOOR = 0.80
 
 
-def score_steps(scored: DataFrame, label: str = "y", score: str = "p", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(score, pos, neg, tp, fp) per distinct score; tp and fp count rows with at least this score."""
-    known = scored.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("score"))
+def score_steps(scored: DataFrame, label: str = "y", score: str = "p", rows_per_task: int = ROWS_PER_TASK,
+                by: Sequence[str] = ()) -> DataFrame:
+    """(score, pos, neg, tp, fp) per distinct score (and `by` group); tp and fp count rows with at least this score."""
+    known = scored.select(*by, F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("score"))
     axis = make_axis(known, "score", rows_per_task)
-    grouped = known.groupBy("score").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    steps = running_totals(grouped, axis, ["pos", "neg"], descending=True)
-    return steps.select("score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
+    grouped = known.groupBy(*by, "score").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    steps = running_totals(grouped, axis, ["pos", "neg"], descending=True, by=by)
+    return steps.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -98,12 +101,13 @@ def with_rates(counts: DataFrame) -> DataFrame:
     })
 
 
-def metric_bundle(scored: DataFrame, threshold: float = 0.5, floor: float = PRECISION_FLOOR, **options) -> DataFrame:
-    """PR-AUC, ROC-AUC, point metrics at a threshold and recall at a precision floor, in one plan."""
+def metric_bundle(scored: DataFrame, threshold: float = 0.5, floor: float = PRECISION_FLOOR, by: Sequence[str] = (),
+                  **options) -> DataFrame:
+    """PR-AUC, ROC-AUC, point metrics at a threshold and recall at a precision floor, in one plan for all `by` groups."""
     hit = F.col("score") >= F.lit(float(threshold))
     tp, fp = F.sum(F.when(hit, F.col("pos")).otherwise(0)), F.sum(F.when(hit, F.col("neg")).otherwise(0))
     fn = F.sum(F.when(hit, 0).otherwise(F.col("pos")))
-    return score_steps(scored, **options).agg(
+    return score_steps(scored, by=by, **options).groupBy(*by).agg(
         average_precision_of().alias("pr_auc"), roc_auc_of().alias("roc_auc"),
         _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"),
         _ratio(2.0 * tp, 2.0 * tp + fp + fn).alias("f1"),

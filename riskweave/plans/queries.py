@@ -118,10 +118,9 @@ def defaults_without_profile(spark, d):
 def categories(spark, d):
     """Training vocabulary applied to all rows: unseen values become null, codes become -1."""
     t = tx.transactions(spark, d)
-    words = [r[0] for r in t.filter((F.col("amt") > 20) & (F.col("category") != "error"))
-             .select("category").distinct().limit(1000).collect()]
-    return t.select("trans_num", scalar.known_category("category", words).alias("category"),
-                    scalar.category_code("category", words).alias("category_code"))
+    training = t.filter((F.col("amt") > 20) & (F.col("category") != "error"))
+    return encoders.with_known_category(t, encoders.category_table(training, "category"), "category").select(
+        "trans_num", "category", "category_code")
 
 
 def event_clock(spark, d):
@@ -369,14 +368,8 @@ def calibrator_choice(spark, d):
 
 def run_leaderboard(spark, d):
     """Each category's score set is one run."""
-    s = tx.scores(spark, d)
-    names = [r[0] for r in s.select("category").distinct().orderBy("category").limit(100).collect()]
-    table = None
-    for name in names:
-        here = s.filter(F.col("category") == name)
-        row = ranking.metric_bundle(here, threshold=0.2).select(F.lit(name).alias("approach"), "pr_auc", "roc_auc", "recall")
-        table = row if table is None else table.unionByName(row)
-    return rounded(ranking.leaderboard(table))
+    runs = ranking.metric_bundle(tx.scores(spark, d).filter("category is not null"), threshold=0.2, by=["category"])
+    return rounded(ranking.leaderboard(runs.select(F.col("category").alias("approach"), "pr_auc", "roc_auc", "recall")))
 
 
 def running_best(spark, d):

@@ -49,14 +49,16 @@ class TrainedModel:
         fm = self.features
         meta = {"columns": self.matrix.columns, "categories": self.matrix.categories, "threshold": self.threshold,
                 "calibrator": self.calibrator.method if self.calibrator else None, "windows": fm.windows,
-                "night_hours": list(fm.night_hours), "age_fill": fm.age_fill, "time_col": fm.time_col}
+                "night_hours": list(fm.night_hours), "age_fill": fm.age_fill, "time_col": fm.time_col,
+                "hot_share": fm.hot_share, "min_hot_rows": fm.min_hot_rows}
         sinks.write_report(spark, meta, f"{path}/manifest")
 
     @classmethod
     def load(cls, spark, path: str) -> "TrainedModel":
         meta = json.loads(spark.read.text(f"{path}/manifest").first()[0])
         fm = features.FeatureModel(encoders.Encoders.load(spark, f"{path}/encoders"), windows=meta["windows"],
-                                   night_hours=tuple(meta["night_hours"]), age_fill=meta["age_fill"], time_col=meta["time_col"])
+                                   night_hours=tuple(meta["night_hours"]), age_fill=meta["age_fill"], time_col=meta["time_col"],
+                                   hot_share=meta["hot_share"], min_hot_rows=meta["min_hot_rows"])
         calibrator = calibration.Calibrator.load(f"{path}/calibrator", meta["calibrator"]) if meta["calibrator"] else None
         return cls(fm, trees.Matrix(meta["columns"], meta["categories"]), GBTClassificationModel.load(f"{path}/trees"),
                    calibrator, meta["threshold"])
@@ -64,6 +66,8 @@ class TrainedModel:
 
 def load_train_test(spark, path: str, test_share: float = 0.2):
     """A folder of splits as written, or a single file that is cut by time."""
+    if not tx.exists(spark, path):
+        raise FileNotFoundError(f"neither a folder of splits nor a file: {path}")
     if not path.endswith((".csv", ".parquet")):
         return tx.read_splits(spark, path)
     raw = tx.read_table(spark, path)

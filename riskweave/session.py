@@ -47,7 +47,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only where none is named (tests) a temporary one."""
+    """The cluster's checkpoint folder. Only a local session may go without one and gets a temporary one."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -55,6 +55,8 @@ def scratch_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     active = spark.sparkContext.getCheckpointDir()
     if active is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         active = tempfile.mkdtemp(prefix="riskweave-checkpoint-")
         spark.sparkContext.setCheckpointDir(active)
         active = spark.sparkContext.getCheckpointDir()

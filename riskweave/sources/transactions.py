@@ -9,8 +9,29 @@ from riskweave.functions import scalar
 
 
 def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """Stack raw CSV files; the schema is given, so no pass is spent on inference."""
-    return spark.read.schema(schema.RAW_TRANSACTION).csv(list(paths), header=True)
+    """Stack raw CSV files. Columns are found by the header's names, in any order and file by file.
+
+    Further columns, such as a leading index without a name, are left out; a missing name is an error. The types
+    are given, so no pass is spent on inference.
+    """
+    out = None
+    for path in paths:
+        text = spark.read.csv(path, header=True)  # all columns as text: only the header is looked at here
+        missing = [f.name for f in schema.RAW_TRANSACTION if f.name not in text.columns]
+        if missing:
+            raise ValueError(f"{path} lacks column(s): {', '.join(missing)}")
+        part = text.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.RAW_TRANSACTION])
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no file to read")
+    return out
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder matches, in any store that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -25,12 +46,24 @@ def parse_times(df: DataFrame, time_col: str = "trans_date_trans_time") -> DataF
 
 
 def read_splits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """A folder with `fold=train` and `fold=test` as written by `sinks.write_splits`."""
-    both = spark.read.parquet(folder)
+    """A folder with `fold=train` and `fold=test` as written by `sinks.write_splits`, as Parquet or CSV.
+
+    Also a folder that holds `train.csv` and `test.csv`.
+    """
+    if exists(spark, f"{folder}/train.csv"):
+        return tuple(parse_times(read_csv(spark, f"{folder}/{fold}.csv")) for fold in ("train", "test"))
+    csv = exists(spark, f"{folder}/fold=*/*.csv*")
+    both = _typed(spark.read.csv(folder, header=True)) if csv else spark.read.parquet(folder)
     return tuple(parse_times(both.filter(F.col("fold") == f).drop("fold")) if "trans_ts" not in both.columns
                  else both.filter(F.col("fold") == f).drop("fold") for f in ("train", "test"))
 
 
+def _typed(text: DataFrame) -> DataFrame:
+    """CSV columns of the raw layout in their types; others (engineered ones, instants) as Spark reads their text."""
+    kinds = {f.name: f.dataType for f in schema.RAW_TRANSACTION} | {"trans_ts": "timestamp", "dob": "date"}
+    return text.select([F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in text.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shared table with zone-less timestamps turned into instants."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -194,8 +194,8 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def run_to_end(df: DataFrame, path: str, checkpoint: str, timeout_s: int = 600) -> DataFrame:
-    """Run a stream over the data at hand and read back what it wrote."""
+def run_to_end(df: DataFrame, path: str, checkpoint: str, timeout_s: int | None = None) -> DataFrame:
+    """Run a stream over the data at hand and read back what it wrote; without `timeout_s` however long it takes."""
     spark = df.sparkSession
     # Expiring state would otherwise keep an available-now query alive with empty batches; list state
     # needs the RocksDB store. A query keeps the settings it was started with.
@@ -208,7 +208,9 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, timeout_s: int = 600)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s} s")
     return spark.read.schema(df.schema).parquet(path)
