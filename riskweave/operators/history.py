@@ -1,7 +1,8 @@
 """Per-card history features that see only the past.
 
 Trailing windows are running sums: every transaction adds its amount at its own time and takes it
-back once it is older than the window. One ordered pass per card therefore serves all windows,
+back once it is older than the window. The sums are decimal with 12 places, so that taking back leaves
+nothing behind; amounts of 1e18 and more, and infinite ones, are counted instead of added. One ordered pass per card therefore serves all windows,
 whatever their length, instead of re-reading each row's frame. Row-based statistics (mean, spread,
 previous point) come from the same pass. Cards too large for a task are scanned in time chunks.
 """
@@ -19,6 +20,9 @@ from riskweave.operators import keyed_chunks
 # Default trailing windows, in hours.
 VELOCITY_WINDOWS_H = {"1h": 1, "24h": 24}
 NULL_KEY_SPREAD = 4096
+HUGE = 1e18
+NEGATIVE = 1 << 32  # step of the counter of huge negative amounts, above that of the positive ones
+PARTS = ("n", "s", "p")
 
 
 def _base(df: DataFrame, key: str, time_col: str, tie: str, amount: str, lat: str, lon: str) -> DataFrame:
@@ -38,13 +42,23 @@ def _moments(windows: Mapping[str, float]) -> list[tuple[int, Column]]:
 def _changes(n_windows: int) -> list[Column]:
     """What a mark adds to each window's count and sum, and to the row statistics."""
     kind, amt = F.col("_m.kind"), F.col("_amt")
+    plain = F.when(F.abs(amt) < HUGE, amt).cast("decimal(38,12)")
+    huge = F.when(amt >= HUGE, 1).when(amt <= -HUGE, NEGATIVE).otherwise(0).cast("long")
     cols = [F.when(kind == 0, amt).alias("_x")]
     for i in range(1, n_windows + 1):
-        sign = F.when(kind == 0, 1).when(kind == i, -1)
-        cols += [F.when(amt.isNotNull(), sign).alias(f"_n{i}"), (sign * amt).alias(f"_s{i}")]
+        def signed(value):
+            return F.when(kind == 0, value).when(kind == i, -value)
+        cols += [F.when(amt.isNotNull(), signed(F.lit(1))).alias(f"_n{i}"), signed(plain).alias(f"_s{i}"), signed(huge).alias(f"_p{i}")]
     return cols
 
 
+def _amount(plain: Column, huge: Column) -> Column:
+    """A window's amount from its decimal sum and its counts of huge amounts."""
+    above, below = huge % NEGATIVE > 0, huge >= NEGATIVE
+    return (F.when(above & below, float("nan")).when(above, float("inf")).when(below, float("-inf"))
+            .otherwise(plain.cast("double")))
+
+
 def _marks(base: DataFrame, key: str, windows: Mapping[str, float], chunks: keyed_chunks.KeyChunks) -> DataFrame:
     """One row per transaction plus one per window at the moment the transaction leaves it.
 
@@ -91,16 +105,16 @@ def _chunk_offsets(base: DataFrame, key: str, windows: Mapping[str, float], chun
     Rows of hot cards are summed where they are read; only chunk totals are exchanged.
     """
     n_windows = len(windows)
-    rows = base.select(key, "_us", "_tie", "_amt", "_lat", "_lon").join(F.broadcast(chunks.table), key)
+    rows = base.select(key, "_us", "_tie", "_amt", "_lat", "_lon").join(chunks.sized(chunks.table), key)
     marks = rows.select(key, "_amt", F.array(*[_moment(kind, at, chunks.chunk_of(at)) for kind, at in _moments(windows)]).alias("_ms"))
     marks = marks.select(key, "_amt", F.explode("_ms").alias("_m")).select(key, F.col("_m.chunk").alias("_chunk"), *_changes(n_windows))
     totals = marks.groupBy(key, "_chunk").agg(
         F.count("_x").alias("n"), F.avg("_x").alias("mean"), (F.var_pop("_x") * F.count("_x")).alias("m2"),
-        *[F.sum(f"_{p}{i}").alias(f"{p}{i}") for i in range(1, n_windows + 1) for p in ("n", "s")])
+        *[F.sum(f"_{p}{i}").alias(f"{p}{i}") for i in range(1, n_windows + 1) for p in PARTS])
     # The last point: first the latest time per chunk, then the highest id among the rows at that time.
     points = rows.select(key, chunks.chunk_of(F.col("_us")).alias("_chunk"), "_us", "_tie", "_lat", "_lon")
     latest = points.groupBy(key, "_chunk").agg(F.max("_us").alias("_us"))
-    last = points.join(F.broadcast(latest), [key, "_chunk", "_us"]).groupBy(key, "_chunk").agg(
+    last = points.join(chunks.sized(latest), [key, "_chunk", "_us"]).groupBy(key, "_chunk").agg(
         F.max(F.struct("_tie", F.struct("_lat", "_lon", "_us").alias("_point"))).alias("last"))
     totals = totals.join(last, [key, "_chunk"], "left")
     per_key = Window.partitionBy(key)
@@ -116,7 +130,7 @@ def _chunk_offsets(base: DataFrame, key: str, windows: Mapping[str, float], chun
         (F.col("g") + F.try_divide(nd, n)).alias("_omean"),
         (ss - F.try_divide(nd * nd, n)).alias("_om2"),
         F.last("last._point", ignorenulls=True).over(before).alias("_opoint"),
-        *[F.sum(f"{p}{i}").over(before).alias(f"_o{p}{i}") for i in range(1, n_windows + 1) for p in ("n", "s")])
+        *[F.sum(f"{p}{i}").over(before).alias(f"_o{p}{i}") for i in range(1, n_windows + 1) for p in PARTS])
 
 
 def history_features(df: DataFrame, key: str = "cc_num", time_col: str = "trans_ts", tie: str = "trans_num",
@@ -146,12 +160,12 @@ def history_features(df: DataFrame, key: str = "cc_num", time_col: str = "trans_
         "_lpoint": F.last("_point", ignorenulls=True).over(by_row),
     })
     out = out.withColumns({f"_l{p}{i}": F.sum(f"_{p}{i}").over(by_time)
-                           for i in range(1, len(windows) + 1) for p in ("n", "s")})
+                           for i in range(1, len(windows) + 1) for p in PARTS})
     out = out.filter(F.col("_kind") == 0)
 
     if chunks.any_hot:
-        # At most 2/hot_share rows: one per chunk of a hot card.
-        out = out.join(F.broadcast(_chunk_offsets(base, key, windows, chunks)), [key, "_chunk"], "left")
+        # One row per chunk of a hot card.
+        out = out.join(chunks.sized(_chunk_offsets(base, key, windows, chunks)), [key, "_chunk"], "left")
         on, ln = F.coalesce("_on", F.lit(0)), F.col("_ln")
         n = on + ln
         gap = F.col("_lmean") - F.col("_omean")
@@ -163,11 +177,12 @@ def history_features(df: DataFrame, key: str = "cc_num", time_col: str = "trans_
         prior_std = F.when(n > 1, F.sqrt(m2 / (n - 1)))
         point = F.coalesce("_lpoint", "_opoint")
         count_of = lambda i: F.coalesce(f"_ln{i}", F.lit(0)) + F.coalesce(f"_on{i}", F.lit(0))
-        sum_of = lambda i: F.coalesce(f"_ls{i}", F.lit(0.0)) + F.coalesce(f"_os{i}", F.lit(0.0))
+        both = lambda part, i: F.coalesce(f"_l{part}{i}", F.lit(0)) + F.coalesce(f"_o{part}{i}", F.lit(0))
+        sum_of = lambda i: _amount(both("s", i), both("p", i))
     else:
         prior_mean, prior_std, point = F.col("_lmean"), F.sqrt("_lvar"), F.col("_lpoint")
         count_of = lambda i: F.coalesce(f"_ln{i}", F.lit(0))
-        sum_of = lambda i: F.coalesce(f"_ls{i}", F.lit(0.0))
+        sum_of = lambda i: _amount(F.coalesce(f"_ls{i}", F.lit(0)), F.coalesce(f"_lp{i}", F.lit(0)))
 
     amt = nan_to_null(F.col(f"_row.{amount}"))
     out = out.select(

@@ -1,11 +1,10 @@
 """Time chunks for keys that hold too many rows for one task.
 
-A history window is a prefix computation per key. A key that holds a large share of all rows
-would pin that prefix to a single task, so its rows are cut into consecutive chunks of similar
-size; each chunk is scanned on its own and receives the totals of the chunks before it.
-Ordinary keys keep one chunk. The number of hot keys is at most 1/HOT_SHARE and the number of
-chunks over all hot keys at most 2/HOT_SHARE, so both tables have a size bound that does not
-depend on the data and may be broadcast.
+A history window is a prefix computation per key. A key with more rows than a task should take
+would pin that prefix to a single task, so its rows are cut into consecutive chunks; each chunk is
+scanned on its own and receives the totals of the chunks before it. Ordinary keys keep one chunk.
+What counts as hot is an absolute number of rows, so the number of hot keys grows with the data:
+their tables are broadcast while there are few, and joined by shuffle beyond.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.session import checkpointed
 
-HOT_SHARE = 1.0 / 1000
+HOT_SHARE = 0.0  # a further, relative bound; none by default
+BROADCAST_KEYS = 1000
 MIN_HOT_ROWS = 1_000_000
 CELLS = 4096
 
@@ -24,17 +24,22 @@ class KeyChunks:
 
     COLUMNS = ("_t0", "_cell", "_chunks")
 
-    def __init__(self, key: str, table: DataFrame | None):
+    def __init__(self, key: str, table: DataFrame | None, keys: int = 0):
         self.key = key
         self.table = table
+        self.keys = keys
 
     @property
     def any_hot(self) -> bool:
         return self.table is not None
 
+    def sized(self, df: DataFrame) -> DataFrame:
+        """A table of the hot keys' chunks, to be broadcast only while the keys are few."""
+        return F.broadcast(df) if self.keys <= BROADCAST_KEYS else df
+
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the chunk table's columns for `chunk_of`."""
-        return df.join(F.broadcast(self.table), self.key, "left")
+        return df.join(self.sized(self.table), self.key, "left")
 
     @staticmethod
     def chunk_of(order: Column) -> Column:
@@ -47,23 +52,20 @@ class KeyChunks:
 def find_chunks(df: DataFrame, key: str, order: str,
                 hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS) -> KeyChunks:
     """Look for hot keys of `df` and cut them by the long column `order`."""
-    total = df.count()
-    limit = max(min_hot_rows, int(total * hot_share))
-    if total <= limit:
-        return KeyChunks(key, None)
-    counts = df.groupBy(key).count().filter((F.col("count") > limit) & F.col(key).isNotNull())
-    hot = [row[0] for row in counts.select(key).collect()]
-    if not hot:
+    counts = df.groupBy(key).count()
+    total, most = counts.agg(F.sum("count"), F.max(F.when(F.col(key).isNotNull(), F.col("count")))).first()
+    limit = max(min_hot_rows, int((total or 0) * hot_share))
+    if (most or 0) <= limit:
         return KeyChunks(key, None)
-
-    spark = df.sparkSession
-    hot_df = spark.createDataFrame([(k,) for k in hot], df.select(key).schema)
-    hot_rows = df.select(key, order).join(F.broadcast(hot_df), key)
+    hot = checkpointed(counts.filter((F.col("count") > limit) & F.col(key).isNotNull()).select(key))
+    keys = hot.count()
+    few = (lambda t: F.broadcast(t)) if keys <= BROADCAST_KEYS else (lambda t: t)
+    hot_rows = df.select(key, order).join(few(hot), key)
     span = hot_rows.groupBy(key).agg(F.min(order).alias("_t0"), F.max(order).alias("_t1")).select(
         key, "_t0",
         F.greatest(F.ceil((F.col("_t1") - F.col("_t0") + 1) / F.lit(CELLS)), F.lit(1)).cast("long").alias("_cell"))
     cell_of = F.floor((F.col(order) - F.col("_t0")) / F.col("_cell")).cast("int")
-    filled = (hot_rows.join(F.broadcast(span), key)
+    filled = (hot_rows.join(few(span), key)
               .groupBy(key, cell_of.alias("_at")).agg(F.count("*").alias("_n")))
     cells = span.select(key, F.explode(F.sequence(F.lit(0), F.lit(CELLS - 1))).alias("_at"))
     # At most CELLS rows per hot key from here on.
@@ -73,4 +75,4 @@ def find_chunks(df: DataFrame, key: str, order: str,
     dense = chunked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", "_chunk"))).alias("_p")).select(
         key, F.transform("_p", lambda s: s["_chunk"]).alias("_chunks"))
     # Read by several parts of a plan: written once.
-    return KeyChunks(key, checkpointed(span.join(dense, key)))
+    return KeyChunks(key, checkpointed(span.join(dense, key)), keys)

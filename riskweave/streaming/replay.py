@@ -19,7 +19,7 @@ def _blocks(rows: DataFrame, key: str, max_history: int, block_rows: int, chunks
     sizes = rows.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.sum("_n").over(upto)).filter("_start is not null").drop("_n")
-    ranked = rows.withColumn("_at", F.row_number().over(in_chunk) - 1).join(F.broadcast(starts), [key, "_chunk"], "left")
+    ranked = rows.withColumn("_at", F.row_number().over(in_chunk) - 1).join(chunks.sized(starts), [key, "_chunk"], "left")
     ranked = ranked.withColumn("_at", F.col("_at") + F.coalesce("_start", F.lit(0)))
     block = F.floor(F.col("_at") / block_rows).cast("int")
     near_end = F.col("_at") % block_rows >= block_rows - max_history

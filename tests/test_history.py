@@ -139,3 +139,25 @@ def test_one_exchange_and_one_sort_for_all_windows(transactions, spark):
     plan = history.history_features(transactions)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert plan.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 20])
+def test_amounts_of_any_size_leave_nothing_behind(spark, limit):
+    """Against a plain range frame: large, tiny, negative and infinite amounts enter and leave a window."""
+    start = 1_600_000_000
+    amounts = [1e17, 1.0, 0.01, 1e9, -2.5, float("inf"), 3.0, None, 7e-9, float("-inf"), 1e16, 0.1, 0.2, float("nan")] * 6
+    rows = [(i, i % 2, start + 1500 * i, a) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "trans_num long, cc_num long, s long, amt double").select(
+        "trans_num", "cc_num", F.col("s").cast("timestamp").alias("trans_ts"), "amt", F.lit(1.0).alias("merch_lat"), F.lit(1.0).alias("merch_long"))
+    got = {r["trans_num"]: r for r in history.history_features(df, min_hot_rows=limit).collect()}
+    for i, card, at, _ in rows:
+        inside = [a for _, c, t, a in rows if c == card and at - 3600 <= t < at and a is not None and a == a]
+        assert got[i]["txn_count_1h"] == len(inside)
+        assert got[i]["txn_amount_1h"] == pytest.approx(float(sum(inside)), rel=1e-12, abs=1e-11, nan_ok=True)
+
+
+def test_many_hot_keys_join_by_shuffle(spark, transactions, monkeypatch):
+    from riskweave.operators import keyed_chunks
+    plain = history.history_features(transactions).toPandas()
+    monkeypatch.setattr(keyed_chunks, "BROADCAST_KEYS", 0)
+    _same(plain, history.history_features(transactions, min_hot_rows=20).toPandas())
