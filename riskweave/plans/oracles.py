@@ -225,6 +225,8 @@ ORACLES: dict[str, str] = {
     "categories": f"""with {TX}, v as (select category, cast(row_number() over (order by category) - 1 as int) as code
           from (select distinct category from tx where amt > 20 and category <> 'error'))
         select trans_num, v.category, coalesce(code, -1) as category_code from tx left join v using (category)""",
+    "raw_csv_stack": _round("""select trans_num, cc_num, cast(floor(epoch_us(trans_ts) / 1e6) as bigint) as clock_s, amt, category, gender, city_pop, is_fraud,
+        case when dob is null then 1 else 0 end as dob_missing from tx""", "amt", "trans_num, cc_num, clock_s, category, gender, city_pop, is_fraud, dob_missing", ctes=TX),
     "event_clock": f"""with {TX} select trans_num, cast(floor(epoch_us(trans_ts) / 1e6) as bigint) - case when trans_num % 3 = 0 then 0 else 86400 end as clock_s,
         case when trans_num % 5 = 0 or dob is null then 1 else 0 end as dob_missing from tx""",
     "travel_from_home": f"""with {TX} select trans_num, round(2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(40e0 - merch_lat) / 2), 2)
@@ -345,6 +347,20 @@ ORACLES: dict[str, str] = {
         low as (select k.i as i, b.i0, min(b.m) as m from c k join b on b.i0 <= k.i and b.i1 >= k.i group by 1, 2),
         f as (select i, max(m) as p_cal from low group by 1)
         select id, round(p_cal + 1.2345678e-8, 6) as p_cal from s join g using (p_tied) join f using (i)""",
+    "calibrator_choice_tied": _round("""select method, brier_before, brier_after, log_loss_before, log_loss_after from both_fits
+          order by brier_after, method limit 1""", "brier_before, brier_after, log_loss_before, log_loss_after", "method", 4,
+        SCORES + _newton(12) + """, g as (select p_tied, row_number() over (order by p_tied) as i, count(*) as w, sum(y) as pos from s group by p_tied),
+        c as (select i, sum(w) over (order by i) as cw, sum(pos) over (order by i) as cp, w, pos from g),
+        b as (select a.i as i0, z.i as i1, (z.cp - a.cp + a.pos) / (z.cw - a.cw + a.w) as m from c a join c z on a.i <= z.i),
+        low as (select k.i as i, b.i0, min(b.m) as m from c k join b on b.i0 <= k.i and b.i1 >= k.i group by 1, 2),
+        f as (select i, max(m) as p_cal from low group by 1),
+        fitted as (select 'isotonic' as method, y, p_tied, p_cal from s join g using (p_tied) join f using (i)
+          union all select 'sigmoid', y, p_tied, 1e0 / (1e0 + exp(-(a * p_tied + b))) from s, w12),
+        clipped as (select *, least(greatest(p_tied, 2.220446049250313e-16), 1e0 - 2.220446049250313e-16) as q0,
+          least(greatest(p_cal, 2.220446049250313e-16), 1e0 - 2.220446049250313e-16) as q1 from fitted),
+        both_fits as (select method, avg((p_tied - y) * (p_tied - y)) as brier_before, avg((p_cal - y) * (p_cal - y)) as brier_after,
+          avg(-ln(case when y = 1 then q0 else 1e0 - q0 end)) as log_loss_before,
+          avg(-ln(case when y = 1 then q1 else 1e0 - q1 end)) as log_loss_after from clipped group by method)"""),
     "run_leaderboard": _round("""select *, row_number() over (order by pr_auc desc, approach) as place, case when row_number() over (order by pr_auc desc, approach) = 1 then 1 else 0 end as is_winner
         from (select category as approach, """ + _AP + " as pr_auc, " + _AUC + """ as roc_auc, coalesce(sum(pos) filter (score >= 2e-1) / sum(pos), 0e0) as recall
           from (select *, sum(pos) over (partition by category order by score desc) as tp, sum(neg) over (partition by category order by score desc) as fp

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskweave import schema
 from riskweave.functions import scalar
 from riskweave.models import explain, trees, tuning
 from riskweave.operators import (
@@ -123,6 +124,21 @@ def categories(spark, d):
         "trans_num", "category", "category_code")
 
 
+def raw_csv_stack(spark, d):
+    """All transactions written as two raw CSV folders, one with a further first column, and stacked again."""
+    t = tx.transactions(spark, d)
+    there = {"trans_date_trans_time": F.date_format("trans_ts", "yyyy-MM-dd HH:mm:ss"), "unix_time": F.unix_timestamp("trans_ts")}
+    columns = [(there[f.name] if f.name in there else F.col(f.name) if f.name in t.columns else F.lit("x")).alias(f.name)
+               for f in schema.RAW_TRANSACTION]
+    paths = [scratch_path(spark, "raw") for _ in range(2)]
+    t.filter("trans_num % 2 = 0").select(F.monotonically_increasing_id().alias("index"), *columns).write.csv(paths[0], header=True)
+    t.filter("trans_num % 2 = 1").select(*columns[::-1]).write.csv(paths[1], header=True)
+    back = tx.parse_times(tx.read_csv(spark, *paths))
+    return rounded(back.select(F.col("trans_num").cast("long").alias("trans_num"), "cc_num", F.unix_timestamp("trans_ts").alias("clock_s"),
+                               "amt", "category", "gender", F.col("city_pop").cast("int").alias("city_pop"), "is_fraud",
+                               F.col("dob").isNull().cast("int").alias("dob_missing")))
+
+
 def event_clock(spark, d):
     """The numeric clock where present, else the parsed timestamp."""
     t = tx.transactions(spark, d)
@@ -364,6 +380,13 @@ def calibrator_choice(spark, d):
                                          "method string, " + ", ".join(f"{m} double" for m in metrics)), 4)
 
 
+def calibrator_choice_tied(spark, d):
+    """The same choice on scores with few values."""
+    chosen, metrics = calibration.fit_calibrator(tx.scores(spark, d), score="p_tied")
+    return rounded(spark.createDataFrame([(chosen.method, *metrics.values())],
+                                         "method string, " + ", ".join(f"{m} double" for m in metrics)), 4)
+
+
 # ---- run records ------------------------------------------------------------------------------
 
 def run_leaderboard(spark, d):
@@ -525,7 +548,7 @@ def tuning_trials(spark, d):
 QUERIES = {f.__name__: f for f in (
     time_features, card_velocity, amount_behaviour, geo_travel, tied_history, customer_age, frequency_encoding,
     target_encoding, encoder_tables, engineered_features, history_transform, feature_gaps, defaults_without_profile,
-    categories, event_clock, travel_from_home, decisions,
+    categories, raw_csv_stack, event_clock, travel_from_home, decisions,
     chrono_split, chrono_folds, tied_split, recent_subsample, tuning_tail, fold_bounds, fit_plus_val, seeded_sample,
     highest_scored_positive,
     split_summary, missing_audit, class_balance, class_ratio, amount_describe, order_value_describe, amount_by_class,
@@ -534,7 +557,7 @@ QUERIES = {f.__name__: f for f in (
     confusion, point_metrics, average_precision, base_rate, roc_auc, pr_curve, roc_curve, recall_at_precision,
     threshold_at_precision, metric_bundle, classification_report, flat_cost, amount_cost, threshold_sweep,
     threshold_sweep_exact, best_threshold, f1_threshold, brier_log_loss, reliability_curve, isotonic_calibration,
-    platt_calibration, calibrator_choice, run_leaderboard, running_best, alias_latest,
+    platt_calibration, calibrator_choice, calibrator_choice_tied, run_leaderboard, running_best, alias_latest,
     online_features_replay, online_overwrite, stream_online_features, stream_scores,
     minority_neighbours, smote, tomek_links, without_tomek_links,
     train_report, batch_scores, split_importance, split_counts, attributions, attribution_importance, top_reasons,
