@@ -30,11 +30,11 @@ from riskweave.session import checkpointed
 
 NEIGHBOURS = 10
 PIVOTS = 256
-ORDERED = 96  # pivots in a vector's order
+ORDERED = 192  # pivots in a vector's order
 BLOCK = 16_384  # rows of a block
 ASKED = 4_096  # queries of a block
-RERANKED = 0.15  # share of a block that is measured exactly, and no fewer than this many:
-LEAST_RERANKED = 1_536
+RERANKED = 0.2  # share of a block that is measured exactly, and no fewer than this many:
+LEAST_RERANKED = 4_096
 
 
 def usable(vectors: DataFrame) -> DataFrame:
