@@ -215,9 +215,17 @@ def _search(items: _Items, space: np.ndarray, dtype):
         answers = {i: items.answers[i].tolist() for i in known}
         bags = {i: frozenset(w) for i, w in words.items()}
         single = {i: len(bags[i]) == len(words[i]) for i in known}
+        live = space.any(axis=1)
+
+        def reachable(i: int, bag: frozenset) -> bool:
+            """Whether enough words of the item are there at all; no subsequence is longer."""
+            common = bags[i] & bag
+            return (len(common) if single[i] else sum(x in common for x in words[i])) >= MATCHED * len(words[i])
+
         for ids, numbers, offsets in _documents(batches, dtype, 100_000) if known else ():
             place, block, first = _blocks(numbers, offsets, STRIDE)
-            found, sums = _row_sums(block, space[numbers[place]])
+            weighty = live[numbers[place]]
+            found, sums = _row_sums(block[weighty], space[numbers[place[weighty]]])
             rows = np.zeros((first[-1] + 1, space.shape[1]), np.float32)
             rows[found] = sums
             inner = np.ones(first[-1], bool)
@@ -230,24 +238,23 @@ def _search(items: _Items, space: np.ndarray, dtype):
             for lo in range(0, len(rows), step):
                 cosine = rows[lo : lo + step] @ asked
                 window, item = np.nonzero(cosine >= COSINE)
-                seen, region = -1, ()
+                seen = -1
                 for w, k, c in zip((window + lo).tolist(), item.tolist(), cosine[window, item].tolist()):
                     if w != seen:
                         seen, doc = w, owner[w]
                         at = int(offsets[doc]) + (w - int(first[doc])) * STRIDE
-                        around: dict[int, list[int]] = {}
-                        sets: dict[int, frozenset] = {}
+                        low, high = int(offsets[doc]), int(offsets[doc + 1])
+                        around: dict[int, frozenset] = {}
                     i = known[k]
                     size = len(words[i])
-                    if size not in around:
-                        lo_word = max(int(offsets[doc]), at - size)
-                        around[size] = numbers[lo_word : min(int(offsets[doc + 1]), at + PASSAGE + size)].tolist()
-                        sets[size] = frozenset(around[size])
-                    common = bags[i] & sets[size]
-                    bound = len(common) if single[i] else sum(x in common for x in words[i])
-                    if bound < MATCHED * size:
+                    room = 1 << size.bit_length()  # few different surroundings a window
+                    if room not in around:
+                        around[room] = frozenset(numbers[max(low, at - room) : min(high, at + PASSAGE + room)].tolist())
+                    if not reachable(i, around[room]):
+                        continue
+                    region = numbers[max(low, at - size) : min(high, at + PASSAGE + size)].tolist()
+                    if not reachable(i, frozenset(region)):
                         continue
-                    region = around[size]
                     matched = common_subsequence(words[i], region) / size
                     if matched < MATCHED:
                         continue
