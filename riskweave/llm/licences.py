@@ -241,8 +241,10 @@ def _rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 def fit(docs: DataFrame) -> Classifier:
     """Train on the templates and the ordinary sentences, some of them inside lines of `docs` (text)."""
     spark = docs.sparkSession
-    lines = docs.filter("text is not null").orderBy(F.xxhash64("text"), "text").limit(FILLERS).select(
-        F.substring(F.element_at(F.split("text", "\n"), 1), 1, 400).alias("line"))
+    # Only the short lines are sorted and sent, not the texts.
+    lines = docs.filter("text is not null").select(
+        F.xxhash64("text").alias("order"), F.substring(F.element_at(F.split("text", "\n"), 1), 1, 400).alias("line"))
+    lines = lines.orderBy("order", "line").limit(FILLERS)
     fillers = [x.line for x in lines.collect()] or [""]
     rows = [(UNKNOWN, x) for x in ORDINARY] + [(UNKNOWN, x) for x in fillers if not set(_plain_words(x)) & set(anchors())]
     for i, (family, text) in enumerate((f, t) for f, templates in TEMPLATES.items() for t in templates):
