@@ -3,8 +3,9 @@
 A document is the sequence of its words (`words.py`). Each sketch hashes the (shingle, occurrence number) pairs
 of the text with its own hash, takes the smallest few and keeps them in text order, so that two texts share a
 sketch with a probability that falls with their edit distance and not only with their set overlap. Texts that
-share a sketch are candidates; a candidate pair is a link if a banded alignment of the two word sequences
-finds an edit similarity (1 - edits / longer length) of at least 0.8. Classes are the connected components.
+share a sketch are candidates; a candidate pair is a link if the sets of their five-word shingles overlap
+(common / all) by at least 0.8 and a banded alignment of the two word sequences confirms the order: an edit
+similarity (1 - edits / longer length) of at least 0.8. Classes are the connected components.
 
 Groups of any size stay linear. Equal word sequences are one node from the start. In a bucket (texts with one
 sketch in common) each text is compared with the bucket's smallest id; in further rounds every component that
@@ -37,6 +38,7 @@ from riskweave.session import checkpointed
 SHINGLE = 5
 SKETCHES = 16
 TAKEN = 2  # smallest shingles kept in a sketch
+OVERLAP = 4, 5  # least shingle overlap of a link, as a fraction of whole numbers
 SIMILARITY = 0.8
 ROUNDS = 3
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -77,6 +79,17 @@ def sketch(words: np.ndarray, sketches: int = SKETCHES, taken: int = TAKEN) -> n
     return np.concatenate(out).view(np.int64)
 
 
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """The distinct shingles of one text's word hashes, sorted."""
+    return np.unique(combine(words, min(SHINGLE, len(words)))) if len(words) else np.zeros(0, np.uint64)
+
+
+def overlapping(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two shingle sets overlap enough for a link."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return OVERLAP[1] * common >= OVERLAP[0] * (len(a) + len(b) - common)
+
+
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
@@ -104,8 +117,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(a), 64):
             pair = left[lo : lo + 64].to_pylist() + right[lo : lo + 64].to_pylist()
             hashes, offsets = hash_words(pair)
-            cut, half = [hashes[s:e].tolist() for s, e in zip(offsets, offsets[1:])], len(pair) // 2
-            close += [similar(cut[i], cut[half + i], SIMILARITY) for i in range(half)]
+            cut, half = [hashes[s:e] for s, e in zip(offsets, offsets[1:])], len(pair) // 2
+            close += [similar(cut[i].tolist(), cut[half + i].tolist(), SIMILARITY)
+                      if overlapping(shingle_set(cut[i]), shingle_set(cut[half + i])) else None for i in range(half)]
         kept = [i for i, x in enumerate(close) if x is not None]
         yield pa.RecordBatch.from_arrays(
             [pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64()),
@@ -113,7 +127,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough, with their similarity."""
+    """The pairs (a, b) whose texts overlap and align well enough, with the similarity of the alignment."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")

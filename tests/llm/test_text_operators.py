@@ -152,6 +152,18 @@ def test_near_classes_find_every_similar_pair(spark, data_dir):
             assert len(members) == 1 or any(similar(words[i].tolist(), words[j].tolist(), 0.8) is not None for j in members if j != i)
 
 
+def test_near_links_need_the_shingle_overlap(spark):
+    r = random.Random(12)
+    base, rows = sentence(r, 300).split(), []
+    for i, step in enumerate((75, 20, 10)):  # 4, 15 and 30 scattered edits: shingle overlaps of about 0.87, 0.6 and 0.33
+        text = list(base)
+        for k in range(7, 300, step):
+            text[k] = f"edit{i}"
+        rows.append((10 + i, " ".join(text)))
+    got = {x.doc_id: x.class_id for x in ordermin.near_classes(docs(spark, [(i, t, None) for i, t in [(1, " ".join(base)), *rows]])).collect()}
+    assert got == {1: 1, 10: 1, 11: 11, 12: 12}
+
+
 # Leaks
 
 def test_leaks(spark):
