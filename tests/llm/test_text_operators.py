@@ -164,6 +164,53 @@ def test_near_links_need_the_shingle_overlap(spark):
     assert got == {1: 1, 10: 1, 11: 11, 12: 12}
 
 
+def test_near_classes_in_buckets_headed_by_others(spark, monkeypatch):
+    """Pairs in buckets of a common passage, headed by texts near to neither of them."""
+    monkeypatch.setattr(ordermin, "_prepare", _one_bucket(ordermin._prepare))
+    r = random.Random(13)
+    common, rows, want = sentence(r, 60), [], {}
+    for i in range(40):  # ids of the two texts of a pair lie far apart, others of the bucket between them
+        own = sentence(r, 80).split()
+        changed = list(own)
+        changed[40] = "changed"
+        rows += [(i, f"{common} {' '.join(own)}"), (1000 + i * 7919 % 1009, f"{' '.join(changed)} {common}" if i % 4 == 0 else f"{common} {' '.join(changed)}")]
+        want[rows[-2][0]] = i
+        want[rows[-1][0]] = rows[-1][0] if i % 4 == 0 else i
+    got = {x.doc_id: x.class_id for x in ordermin.near_classes(docs(spark, [(i, t, None) for i, t in rows])).collect()}
+    assert got == want
+
+
+def _one_bucket(prepare):
+    def sketches_agree(batches):
+        import pyarrow as pa
+        for batch in prepare(batches):
+            same = pa.array([[1] if n else [] for n in batch.column("n_words").to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], same], ["doc_id", "words_key", "n_words", "sketches"])
+    return sketches_agree
+
+
+def test_overlaps_leave_out_no_link(spark):
+    r = random.Random(14)
+    common, texts = sentence(r, 50).split(), []
+    for i in range(30):
+        own = sentence(r, r.randrange(3, 90)).split()
+        for size in (0, r.randrange(12), r.randrange(40)):
+            text = common[: r.randrange(51)] + own + common[size:]
+            for _ in range(r.randrange(3)):
+                text[r.randrange(len(text))] = "edit"
+            texts.append(text)
+    from riskweave.llm.words import hash_words
+
+    hashes, offsets = hash_words([" ".join(t) for t in texts])
+    sets = [ordermin.shingle_set(hashes[s:e]) for s, e in zip(offsets, offsets[1:])]
+    want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i) if ordermin.overlapping(sets[i], sets[j])
+            and min(len(texts[i]), len(texts[j])) >= 0.8 * max(len(texts[i]), len(texts[j]))}
+    df = spark.createDataFrame([(i, len(t), " ".join(t), i) for i, t in enumerate(texts)], "doc_id long, n_words long, text string, component long")
+    rows = ordermin.overlaps(df).collect()
+    got = {frozenset((x.a, x.b)) for x in rows}
+    assert len(got) == len(rows) < 30 * 90 and want <= got and want
+
+
 # Leaks
 
 def test_leaks(spark):
