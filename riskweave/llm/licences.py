@@ -1,6 +1,11 @@
 """Licence notices in documents: a trained paragraph classifier, confirmed by template comparison. SQL only.
 
-A paragraph is a line of the text. Its features are the word 1- and 2-grams that occur in the licence templates
+A paragraph is a line of the text; a notice that is wrapped over lines counts as one paragraph, under the number of
+one of its lines. For that, a line that is no notice alone is read on over the following lines, up to an empty line
+(one without letters and digits) or a line that is a notice alone: its last and their first REACH words. Of
+neighbouring lines that read the same notice, the one with the greatest share of the template is reported.
+
+The features of a paragraph are the word 1- and 2-grams that occur in the licence templates
 and hold at least one content word; a multinomial logistic regression over them gives each licence family and
 the unknown class a probability. The training rows are the templates, parts of them, and as unknown class
 ordinary sentences that use the same words, each also inside a paragraph of the documents at hand (at most
@@ -28,6 +33,7 @@ UNKNOWN = "unknown"
 LIKELY = 0.5
 CONFIRMED = 0.6
 FILLERS = 64
+REACH = 48  # words that a wrapped notice is looked for in; the longest template has under half as many
 TEMPERATURES = (0.35, 0.5, 0.7, 1.0, 1.4, 2.0)
 
 # Notices of the families, as their publishers word them.
@@ -184,9 +190,13 @@ class Classifier:
 
     def classify(self, paragraph: Column) -> Column:
         """(family, probability, matched) of a paragraph; the family is `unknown` unless a template confirms it."""
-        return let(words(paragraph), lambda word: let(bigrams(word), lambda pairs: let(
+        return let(words(paragraph), self.classify_words)
+
+    def classify_words(self, word: Column) -> Column:
+        """The same of the words of a paragraph."""
+        return let(bigrams(word), lambda pairs: let(
             self.features(word, pairs), lambda places: let(self.probabilities(self.scores(places)), lambda chance: let(
-                F.array_position(chance, F.array_max(chance)).cast("int"), lambda best: self._confirmed(pairs, chance, best))))))
+                F.array_position(chance, F.array_max(chance)).cast("int"), lambda best: self._confirmed(pairs, chance, best)))))
 
     def _confirmed(self, pairs: Column, chance: Column, best: Column) -> Column:
         shares = F.lit(0.0)
@@ -277,13 +287,43 @@ def fit(docs: DataFrame) -> Classifier:
     return fitted
 
 
+def _wrapped(classifier: Classifier, word: Column, alone: Column) -> Column:
+    """What each line is together with those it runs on in; null where there are none. From the words of the lines."""
+    ends = F.transform(alone, lambda x, i: (x["family"] != UNKNOWN) | (F.size(F.element_at(word, i + 1)) == 0))
+
+    def read_on(own: Column, i: Column, end: Column) -> Column:
+        stop = F.array_position(F.slice(end, i + 1, REACH), True).cast("int")
+        count = F.when(stop == 0, REACH).otherwise(stop - 1)
+        tail = F.slice(own, F.greatest(F.size(own) - REACH + 1, F.lit(1)), REACH)
+        rest = F.slice(F.flatten(F.transform(F.slice(word, i + 2, count - 1), lambda w: F.slice(w, 1, REACH))), 1, REACH)
+        more = (count > 1) & (i + 1 < F.size(word))
+        return F.when(more, let(F.concat(tail, rest), classifier.classify_words))
+
+    return let(ends, lambda end: F.transform(word, lambda own, i: read_on(own, i, end)))
+
+
+def _best_read(wrapped: Column, i: Column) -> Column:
+    """The wrapped notice that is best read from line i, or null: no neighbour holds more of it, nor the next line as much."""
+    def same(x: Column, y: Column) -> Column:
+        return F.coalesce(x["family"] == y["family"], F.lit(False))
+
+    def chosen(own: Column) -> Column:
+        before, after = F.get(wrapped, i - 1), F.get(wrapped, i + 1)
+        later = same(own, after) & (after["matched"] >= own["matched"])
+        return F.when(~later & ~(same(own, before) & (before["matched"] > own["matched"])), own)
+
+    return let(F.get(wrapped, i), chosen)
+
+
 def paragraphs(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """`docs` with column `licensed`: (paragraph, family, probability, matched) of the paragraphs with a licence."""
     lines = F.split("text", "\n")
     possible = F.arrays_overlap(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), _strings(anchors()))
-    flat = F.filter(F.transform(lines, lambda line, i: let(classifier.classify(line), lambda x: F.struct(
-        i.alias("paragraph"), x["family"].alias("family"), x["probability"].alias("probability"),
-        x["matched"].alias("matched")))), lambda x: x["family"] != UNKNOWN)
+    flat = let(F.transform(lines, words), lambda word: let(F.transform(word, classifier.classify_words), lambda alone: let(
+        _wrapped(classifier, word, alone), lambda wrapped: F.filter(F.transform(alone, lambda x, i: let(
+            F.when(x["family"] != UNKNOWN, x).otherwise(_best_read(wrapped, i)), lambda y: F.struct(
+                i.alias("paragraph"), y["family"].alias("family"), y["probability"].alias("probability"),
+                y["matched"].alias("matched")))), lambda x: x["family"] != UNKNOWN))))
     none = F.array().cast("array<struct<paragraph:int,family:string,probability:double,matched:double>>")
     return docs.withColumn("licensed", F.when(possible, flat).otherwise(none))
 

@@ -332,3 +332,25 @@ def test_licences(spark, data_dir):
         assert real[x.doc_id].families == ",".join(sorted(wanted))
         assert real[x.doc_id].n_paragraphs == x.text.count("\n") + 1
     assert licences.report(docs(spark, [])).count() == 0
+
+
+WRAPPED = {
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are\n# met:",
+    "gpl": " * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+           " * the Free Software Foundation; either version 3 of the License, or\n * (at your option) any later version.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+           "copyright notice and this permission notice appear in all copies.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+           "in the Software without restriction, including without limitation the rights"}
+
+
+def test_wrapped_licences(spark, data_dir):
+    classifier = licences.fit(table(spark, data_dir, "documents"))
+    narrow = {f: re.sub(r"(\S+ \S+ \S+) ", r"\1\n", t.replace("\n", " ").replace("#", "").replace("*", "")) for f, t in WRAPPED.items()}
+    texts = [(f, f"Some first line\n\n{t}\n\nthe end") for x in (WRAPPED, narrow) for f, t in x.items()]
+    rows = docs(spark, [(i, t, None) for i, (_, t) in enumerate(texts)] + [(90, "the work is licensed\n\nunder the GPL and\nothers", None)])
+    got = {x.doc_id: [(p.paragraph, p.family) for p in x.licensed] for x in licences.paragraphs(rows, classifier).collect()}
+    assert got.pop(90) == []
+    for i, (family, _) in enumerate(texts):
+        assert [f for _, f in got[i]] == [family]
+        assert 2 <= got[i][0][0] <= texts[i][1].count("\n") - 2
