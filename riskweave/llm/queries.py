@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, latent, licences, ordermin, permutation, resample, secrets, shards, warc
+from riskweave.llm import (
+    bestpos, bpe, langid, latent, licences, ordermin, permutation, resample, secrets, shards, treebpe, warc)
 from riskweave.llm.tables import table
 
 
-def vocabulary() -> str:
-    """The vocabulary file of the BPE queries; every worker must be able to read it there."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the BPE queries; every worker must be able to read it there."""
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,16 @@ def op10_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op11_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treebpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
+def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestpos.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc_derivatives, op2_order_minhash, op3_entropy_secrets, op4_licence_paragraphs, op5_permutation_index,
-    op6_batched_bpe, op7_jump_shards, op8_latent_leaks, op9_importance_sample, op10_rank_order_language)}
-ORACLES: dict[str, str] = {"op7_jump_shards": shards.assign_sql()}
+    op6_batched_bpe, op7_jump_shards, op8_latent_leaks, op9_importance_sample, op10_rank_order_language,
+    op11_segment_tree_bpe, op12_best_position_search)}
+ORACLES: dict[str, str] = {"op7_jump_shards": shards.assign_sql(), "op12_best_position_search": bestpos.rank_sql()}
