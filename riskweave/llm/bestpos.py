@@ -50,12 +50,12 @@ _CODED = "doc_id long, n long, terms binary, counts binary"
 _FOUND = "item int, doc_id long, score long, lane int"
 
 
-def _parts(texts: list[str | None]) -> Iterator[tuple[int, str]]:
-    """(row, piece) of all texts; long ones are cut between terms."""
+def pieces_of(texts: list[str | None], breaks: re.Pattern, longest: int) -> Iterator[tuple[int, str]]:
+    """(row, piece) of all texts; those beyond `longest` are cut behind the next break."""
     for row, text in enumerate(texts):
         at, size = 0, len(text or "")
         while at < size:
-            found = _BREAK.search(text, at + PIECE) if size - at > PIECE else None
+            found = breaks.search(text, at + longest) if size - at > longest else None
             end = found.end() if found else size
             yield row, text[at:end]
             at = end
@@ -73,7 +73,7 @@ def _hash_group(group: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
 def hash_terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every term, by row."""
     rows, hashes, group, size = [], [], [], 0
-    for part in _parts(texts):
+    for part in pieces_of(texts, _BREAK, PIECE):
         group.append(part)
         size += len(part[1]) + 1
         if size > PIECE:

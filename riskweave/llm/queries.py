@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
-    bestpos, bpe, langid, latent, licences, ordermin, permutation, resample, secrets, shards, treebpe, warc)
+    bestpos, bpe, langid, latent, licences, ordermin, permutation, phrases, resample, secrets, shards, treebpe, warc)
 from riskweave.llm.tables import table
 
 
@@ -68,8 +68,14 @@ def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestpos.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_phrase_subtrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc_derivatives, op2_order_minhash, op3_entropy_secrets, op4_licence_paragraphs, op5_permutation_index,
     op6_batched_bpe, op7_jump_shards, op8_latent_leaks, op9_importance_sample, op10_rank_order_language,
-    op11_segment_tree_bpe, op12_best_position_search)}
-ORACLES: dict[str, str] = {"op7_jump_shards": shards.assign_sql(), "op12_best_position_search": bestpos.rank_sql()}
+    op11_segment_tree_bpe, op12_best_position_search, op13_phrase_subtrees)}
+ORACLES: dict[str, str] = {
+    "op7_jump_shards": shards.assign_sql(), "op12_best_position_search": bestpos.rank_sql(),
+    "op13_phrase_subtrees": phrases.collocations_sql()}
