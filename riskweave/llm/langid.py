@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from riskweave.llm.tables import held_out
@@ -181,14 +182,17 @@ def _distances(codes: np.ndarray, sizes: np.ndarray, grams: np.ndarray, ranks: n
     return out, used
 
 
-def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE) -> DataFrame:
-    """`docs` (doc_id, text, held_out) as (doc_id, held_out, lang_pred, score, distance).
+def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE, carried: str | None = None) -> DataFrame:
+    """`docs` (doc_id, text, held_out) as (doc_id, held_out, lang_pred, score, distance), and the column `carried` as it is.
 
     distance is the mean out-of-place cost of the best language as a share of the profile length, 0 to 1;
     score is how much nearer the best language is than the next one, 0 to 1 (with one language: 1 - distance).
     """
     langs, grams, ranks = gathered(profile, size)
-    schema = "doc_id long, held_out boolean, lang_pred string, score double, distance double"
+    schema = StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double, distance double")
+    further = [carried] if carried else []
+    for name in further:
+        schema = schema.add(docs.schema[name])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,13 +216,17 @@ def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE) -> DataFra
                 near.append(np.where(blank, 1.0, ordered[:, 0]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()),
-                 pa.array(np.concatenate(score or [np.zeros(0)])), pa.array(np.concatenate(near or [np.zeros(0)]))],
-                ["doc_id", "held_out", "lang_pred", "score", "distance"])
+                 pa.array(np.concatenate(score or [np.zeros(0)])), pa.array(np.concatenate(near or [np.zeros(0)])),
+                 *[batch.column(x) for x in further]],
+                ["doc_id", "held_out", "lang_pred", "score", "distance", *further])
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(label, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", "held_out", *further).mapInArrow(label, schema)
 
 
-def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
-    """Languages of all `docs` (doc_id, text, lang), learned from those that are labelled and not held out."""
-    split = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
-    return predict(split, profiles(split.filter(~F.col("held_out")), size), size)
+def identify(docs: DataFrame, size: int = PROFILE, row: bool = False) -> DataFrame:
+    """Languages of all `docs` (doc_id, text, lang), learned from those that are labelled and not held out.
+
+    With `row`, the whole row of `docs` comes along as a struct of that name.
+    """
+    split = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"), *([F.struct("*").alias("row")] if row else []))
+    return predict(split, profiles(split.filter(~F.col("held_out")), size), size, "row" if row else None)

@@ -7,21 +7,23 @@ share a sketch are candidates; a candidate pair is a link if the sets of their f
 (common / all) by at least 0.8 and a banded alignment of the two word sequences confirms the order: an edit
 similarity (1 - edits / longer length) of at least 0.8. Classes are the connected components.
 
-Equal word sequences are one node from the start. In a bucket (texts with one sketch in common) each text is first
-compared with the bucket's smallest id; then, for up to three turns, every component that still shares a bucket with
-another one sends one text, chosen by another order, to that bucket's first. These turns are linear in groups of any
-size and join most of each group. They decide nothing: all texts of buckets that still hold several components go
-through an exact search (`overlaps`), so that every pair of different components that shares a bucket is
-verified or ruled out by a bound. The search orders the shingles by how many of these texts hold them, rare ones
+Equal word sequences are one node from the start, numbered once and for all, so that ids that repeat with other texts do
+no harm. In a bucket (texts with one sketch in common) each text is compared with the bucket's first; this is
+linear in groups of any size and joins most of each group. It decides nothing: all texts of buckets that still hold
+several components go through an exact search (`overlaps`), so that every pair of different components that shares a
+bucket is verified or ruled out by a bound. The search orders the shingles by how many of these texts hold them, rare ones
 first. Two sets that overlap by 0.8 share a shingle among the first fifth of each, and among the first ninth
 of the smaller; passages that thousands of texts share come last and are not in these parts. At a shingle overlap of
 0.8 a pair misses all 16 sketches with a probability of about 1e-7.
 
+Sketches, buckets, pairs and links are rows of numbers; texts are read again only for nodes that share a bucket.
+Few exchanges matter here: with many small partitions every exchange costs files, not bytes.
+
 Defined results: class_id is the smallest doc_id of the class, exact_id the smallest doc_id with the same word
-sequence. A null text, or one without any word, equals only the same text (nulls are not equal to each other).
-Texts under five words have one shingle of all their words. Rows that repeat a doc_id are one document if
-their words agree and otherwise fall into one class, each row being returned; rows without a doc_id are
-returned with null classes and not compared. Only doc_id and text are read.
+sequence; class_key is one number per class, and text_md5 tells rows of one doc_id apart. A text without any word equals
+only the same text. Texts under five words have one shingle of all their words. Rows that repeat a doc_id are classed by
+their texts, each row being returned. Rows without a doc_id are classed like others and have null ids where no row of their
+class has one. A null text equals nothing: its class is its own doc_id, its key null. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -44,7 +46,6 @@ SKETCHES = 16
 TAKEN = 2  # smallest shingles kept in a sketch
 OVERLAP = 4, 5  # least shingle overlap of a link, as a fraction of whole numbers
 SIMILARITY = 0.8
-TURNS = 3  # linear turns before the exact search
 COUNTERS = 20  # bits of a shingle that choose its counter
 SLICE = 2048  # counters per message
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -96,23 +97,37 @@ def overlapping(a: np.ndarray, b: np.ndarray) -> bool:
     return OVERLAP[1] * common >= OVERLAP[0] * (len(a) + len(b) - common)
 
 
+def words_key(words: np.ndarray, text: str) -> bytes:
+    """What is equal for texts of the same words, or of the same characters if there are no words."""
+    return md5(words.tobytes() if len(words) else b"text:" + text.encode("utf-8", "surrogatepass")).digest()
+
+
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
         hashes, offsets = hash_words(texts)
         keys, sketches = [], []
-        for i, text in enumerate(texts):
-            words = hashes[offsets[i] : offsets[i + 1]]
-            body = words.tobytes() if len(words) else b"" if text is None else b"text:" + text.encode("utf-8", "surrogatepass")
-            keys.append(None if text is None else md5(body).digest())
-            sketches.append(sketch(words))
+        for text, start, end in zip(texts, offsets, offsets[1:]):
+            keys.append(None if text is None else words_key(hashes[start:end], text))
+            sketches.append(sketch(hashes[start:end]))
         sizes = [len(x) for x in sketches]
         values = pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
             pa.array(np.concatenate(sketches) if sketches else np.zeros(0, np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(np.diff(offsets), pa.int64()), values],
-            ["doc_id", "words_key", "n_words", "sketches"])
+            [batch.column("doc_id"), batch.column("text_md5"), pa.array(keys, pa.binary()), pa.array(np.diff(offsets), pa.int64()), values],
+            ["doc_id", "text_md5", "words_key", "n_words", "sketches"])
+
+
+def _rekey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts with their keys."""
+    for batch in batches:
+        for lo in range(0, len(batch), 256):
+            column = batch.column("text")[lo : lo + 256]
+            texts = column.to_pylist()
+            hashes, offsets = hash_words(texts)
+            keys = [words_key(hashes[s:e], t) for t, s, e in zip(texts, offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), column], ["words_key", "text"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,101 +149,87 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts overlap and align well enough, with the similarity of the alignment."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_verify, "a long, b long, similarity double")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, exact_id, n_words) for every row of `docs` (doc_id, text)."""
+    """(doc_id, class_id, exact_id, n_words, class_key, text_md5) for every row of `docs` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    prepared = checkpointed(docs.mapInArrow(
-        _prepare, "doc_id long, words_key binary, n_words long, sketches array<long>"))
-    named = prepared.filter("doc_id is not null")
-    # A null text equals nothing: it needs no class of its own beyond its id.
-    exact = named.filter("words_key is not null").groupBy("words_key").agg(F.min("doc_id").alias("exact_id"))
-    nodes = named.join(exact, (named.words_key == exact.words_key) & (named.doc_id == exact.exact_id), "left_semi")
-    members = nodes.filter("n_words > 0").select("doc_id", "n_words", F.posexplode("sketches").alias("band", "value"))
-    members = members.withColumn("bucket", F.xxhash64("band", "value")).select("doc_id", "n_words", "bucket")
-    shared = members.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter(
-        "first != last").select(F.col("bucket").alias("shared"), "first")
-    members = checkpointed(members.join(shared, members.bucket == shared.shared).select(
-        "bucket", "doc_id", "n_words", "first"))
-    sizes = checkpointed(members.select(F.col("doc_id").alias("other"), F.col("n_words").alias("other_words")).distinct())
-    # The texts that may be compared, once each; all rounds read them from here.
-    bodies = checkpointed(docs.join(sizes, docs.doc_id == sizes.other, "left_semi").dropDuplicates(["doc_id"]))
-    links = labels = tested = None
-    for turn in range(TURNS):
-        if turn == 0:
-            pairs = members.filter("doc_id != first").select(
-                F.col("first").alias("a"), F.col("doc_id").alias("b"), F.col("n_words").alias("words_b"))
-        else:
-            pairs = _between_components(members, labels, turn)
-        pairs = pairs.groupBy("a", "b").agg(F.min("words_b").alias("words_b"))
-        pairs = pairs.join(sizes, pairs.a == sizes.other).filter(
-            F.least("words_b", "other_words") >= SIMILARITY * F.greatest("words_b", "other_words") - 1e-6)
-        pairs = pairs.select("a", "b")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        if pairs.isEmpty():
-            break
-        found = checkpointed(verified(pairs, bodies).select("a", "b"))
-        tested = pairs if tested is None else tested.union(pairs)
-        if turn and found.isEmpty():
-            break
-        links = found if links is None else links.union(found)
-        labels = components(links)
-    found = _left_over(members, sizes, bodies, labels, tested)
-    if found is not None:
-        labels = components(found if links is None else links.union(found))
-    exact_of = named.join(exact, "words_key", "left").select(
-        "doc_id", "n_words", F.coalesce("exact_id", "doc_id").alias("exact_id"))
+    prepared = checkpointed(docs.withColumn("text_md5", F.md5(F.col("text").cast("binary"))).mapInArrow(
+        _prepare, "doc_id long, text_md5 string, words_key binary, n_words long, sketches array<long>"))
+    # Numbers of nodes are given as the table is written and do not change after that.
+    nodes = checkpointed(prepared.filter("words_key is not null").groupBy("words_key").agg(
+        F.min("doc_id").alias("exact_id"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")).withColumn(
+        "node", F.monotonically_increasing_id()))
+    labels = _labels(docs, nodes)
+    classed = nodes.select("words_key", "node", "exact_id")
     if labels is not None:
-        exact_of = exact_of.join(labels, exact_of.exact_id == labels.node, "left")
+        classed = classed.join(labels.withColumnRenamed("node", "labelled"), F.col("node") == F.col("labelled"), "left")
     else:
-        exact_of = exact_of.withColumn("label", F.lit(None).cast("long"))
-    out = exact_of.select("doc_id", F.coalesce("label", "exact_id").alias("class_id"), "exact_id", "n_words")
-    unnamed = prepared.filter("doc_id is null").select(
-        "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("exact_id"), "n_words")
-    return out.union(unnamed)
-
-
-def _between_components(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of one text per component and bucket with the bucket's first text, in the turn's order."""
-    salt = int(_SEEDS[512 + turn]) >> 1
-    placed = members.join(labels, members.doc_id == labels.node, "left").select(
-        "bucket", "n_words", F.coalesce("label", "doc_id").alias("component"),
-        F.col("doc_id").bitwiseXOR(F.lit(salt)).alias("scrambled"))
-    chosen = placed.groupBy("bucket", "component").agg(
-        F.min(F.struct("scrambled", "n_words")).alias("it"))
-    first = chosen.groupBy("bucket").agg(F.min("it.scrambled").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    pairs = chosen.join(first, "bucket").filter("it.scrambled != head").select(
-        F.col("it.scrambled").bitwiseXOR(F.lit(salt)).alias("x"), F.col("head").bitwiseXOR(F.lit(salt)).alias("y"),
-        F.col("it.n_words").alias("words_b"))
-    # The length of the head is looked up by the caller, so it must be column a.
-    return pairs.select(F.col("y").alias("a"), F.col("x").alias("b"), "words_b")
-
-
-def _left_over(members: DataFrame, sizes: DataFrame, bodies: DataFrame, labels: DataFrame | None,
-               tested: DataFrame | None) -> DataFrame | None:
+        classed = classed.withColumn("label", F.lit(None).cast("long"))
+    classed = classed.select("words_key", "exact_id", F.coalesce("label", "node").alias("class_key"))
+    # Only classes of several nodes need their smallest id looked up.
+    several = classed.groupBy("class_key").agg(F.min("exact_id").alias("class_id"), F.count("*").alias("nodes")).filter("nodes > 1")
+    classed = classed.join(several.drop("nodes"), "class_key", "left").select(
+        "words_key", "exact_id", "class_key", F.coalesce("class_id", "exact_id").alias("class_id"))
+    found = prepared.drop("sketches").join(classed, "words_key", "left")
+    return found.select(
+        "doc_id", F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("exact_id")).alias("exact_id"), "n_words",
+        "class_key", "text_md5")
+
+
+def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """(node, label) of the nodes in links; None without links."""
+    members = nodes.filter("n_words > 0").select("node", "exact_id", "n_words", F.posexplode("sketches").alias("band", "value"))
+    members = members.select("node", "exact_id", "n_words", F.xxhash64("band", "value").alias("bucket"))
+    shared = members.groupBy("bucket").agg(
+        F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("n_words", "node").alias("first_words")).filter("first != last")
+    members = checkpointed(members.join(shared.drop("last"), "bucket").select("bucket", "node", "exact_id", "n_words", "first", "first_words"))
+    bodies = _bodies(docs, nodes, members)
+    near = F.least("n_words", "first_words") >= SIMILARITY * F.greatest("n_words", "first_words") - 1e-6
+    tested = checkpointed(members.filter((F.col("node") != F.col("first")) & near).select(
+        F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    links = checkpointed(verified(tested, bodies).select("a", "b"))
+    labels = None if links.isEmpty() else components(links)
+    more = _left_over(members, bodies, labels, tested)
+    if more is not None:
+        # Nodes joined so far stand for their component.
+        links = more if labels is None else labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)
+        labels = components(links)
+    return labels
+
+
+def _bodies(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, n_words, text) of the nodes that share a bucket, once each."""
+    wanted = checkpointed(members.select("node", "exact_id", "n_words").distinct().join(
+        nodes.select("words_key", F.col("node").alias("same")), F.col("node") == F.col("same")).drop("same"))
+    # An id may have further texts, so what it finds is told apart by its key.
+    ids = wanted.select(F.col("exact_id").alias("wanted_id")).distinct()
+    texts = docs.filter("text is not null").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    texts = texts.mapInArrow(_rekey, "words_key binary, text string")
+    return checkpointed(wanted.join(texts, "words_key").dropDuplicates(["words_key"]).select("node", "n_words", "text"))
+
+
+def _left_over(members: DataFrame, bodies: DataFrame, labels: DataFrame | None, tested: DataFrame) -> DataFrame | None:
     """The links (a, b) between components that still share a bucket; None if there are none."""
-    placed = members.select("bucket", "doc_id", F.col("doc_id").alias("component"))
+    placed = members.select("bucket", "node", F.col("node").alias("component"))
     if labels is not None:
-        placed = members.join(labels, members.doc_id == labels.node, "left").select(
-            "bucket", "doc_id", F.coalesce("label", "doc_id").alias("component"))
+        placed = members.select("bucket", "node").join(labels, "node", "left").select(
+            "bucket", "node", F.coalesce("label", "node").alias("component"))
     # Both texts of a bucket of two have been compared.
     mixed = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low != high and n > 2")
-    open_ = checkpointed(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct())
-    if open_.isEmpty():
+    open_ = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "component").distinct()
+    texts = checkpointed(bodies.join(open_, "node"))
+    if texts.isEmpty():
         return None
-    texts = bodies.join(open_, "doc_id").join(sizes, F.col("doc_id") == sizes.other).withColumnRenamed("other_words", "n_words")
     pairs = overlaps(texts)
-    if tested is not None:
-        pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
-    pairs = checkpointed(pairs)
+    done = tested.union(tested.select("b", "a")).withColumnRenamed("a", "x").withColumnRenamed("b", "y")
+    pairs = checkpointed(pairs.join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"))
     if pairs.isEmpty():
         return None
     found = checkpointed(verified(pairs, bodies).select("a", "b"))
@@ -282,31 +283,30 @@ def _first_parts(counts: np.ndarray):
                 continue
             row = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(parts).view(np.int64)), batch.column("doc_id").take(row), batch.column("component").take(row),
+                [pa.array(np.concatenate(parts).view(np.int64)), batch.column("node").take(row), batch.column("component").take(row),
                  batch.column("n_words").take(row), pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.concatenate(places), pa.int32())],
-                ["shingle", "doc_id", "component", "n_words", "n", "place"])
+                ["shingle", "node", "component", "n_words", "n", "place"])
     return cut
 
 
 def overlaps(texts: DataFrame) -> DataFrame:
-    """(a, b): pairs of different components in `texts` (doc_id, n_words, text, component) that may be links; no link is left out."""
-    texts = checkpointed(texts.select("doc_id", "n_words", "text", "component"))
+    """(a, b): pairs of different components in `texts` (node, n_words, text, component) that may be links; no link is left out."""
     schema = "slice long, counts binary"
     summed = texts.mapInArrow(_count, schema).groupBy("slice").applyInArrow(_add, schema).toArrow()
     counts = np.zeros(1 << COUNTERS, np.int64)
     for start, part in zip(summed.column("slice").to_pylist(), summed.column("counts")):
         counts[start : start + SLICE] = np.frombuffer(part.as_buffer(), np.int64)
     parts = checkpointed(texts.mapInArrow(
-        _first_parts(counts), "shingle long, doc_id long, component long, n_words long, n int, place int"))
+        _first_parts(counts), "shingle long, node long, component long, n_words long, n int, place int"))
     mixed = parts.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
     parts = parts.join(mixed.select("shingle"), "shingle", "left_semi")
     # Sizes of a link differ by a factor of 1.25 at most, so they lie in one band or in neighbouring ones.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26)))
     of, whole = OVERLAP[0], OVERLAP[0] + OVERLAP[1]
     small = parts.filter(f"place < n - ceil({2 * of} * n / {whole}) + 1").select(
-        "shingle", band.alias("band"), *[F.col(x).alias(f"{x}_b") for x in ("doc_id", "component", "n_words", "n", "place")])
+        "shingle", band.alias("band"), *[F.col(x).alias(f"{x}_b") for x in ("node", "component", "n_words", "n", "place")])
     large = parts.withColumn("band", F.explode(F.array(band, band - 1)))
-    pairs = large.join(small, ["shingle", "band"]).filter("component != component_b and (n_b < n or n_b = n and doc_id_b < doc_id)").filter(
+    pairs = large.join(small, ["shingle", "band"]).filter("component != component_b and (n_b < n or n_b = n and node_b < node)").filter(
         f"{OVERLAP[1]} * n_b >= {of} * n and {whole} * least(n - place, n_b - place_b) >= {of} * (n + n_b)").filter(
         F.least("n_words", "n_words_b") >= SIMILARITY * F.greatest("n_words", "n_words_b") - 1e-6)
-    return pairs.select(F.col("doc_id_b").alias("a"), F.col("doc_id").alias("b")).distinct()
+    return pairs.select(F.col("node_b").alias("a"), F.col("node").alias("b")).distinct()

@@ -25,7 +25,7 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordermin.near_classes(table(spark, sf_dir, "documents"))
+    return ordermin.near_classes(table(spark, sf_dir, "documents")).drop("class_key", "text_md5")
 
 
 def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -120,15 +121,28 @@ def test_near_classes(spark):
     assert {of[i].class_id for i in (20, *range(100, 160))} == {20}
     assert of[40].class_id == of[41].class_id == 40
     assert [of[i].class_id for i in (21, 50, 51, 52, 53, 54, 60, 61, 62)] == [21, 50, 51, 52, 52, 54, 60, 60, 62]
-    assert of[None].class_id is None
+    assert of[None].class_id == 3 and of[None].exact_id == 5
+    assert of[50].class_key is None and len({x.class_key for x in got} - {None}) == len({x.class_id for x in got} - {50, 51})
     assert ordermin.near_classes(docs(spark, [])).count() == 0
 
 
+def test_near_classes_of_ids_with_several_texts(spark):
+    r = random.Random(3)
+    a, b = sentence(r, 100), sentence(r, 100)
+    rows = [(5, a), (5, b), (9, a + " more"), (10, b + " more"), (None, sentence(r, 50)), (None, b), (11, "x"), (11, None), (11, "y")]
+    got = {(x.doc_id, x.text_md5): x for x in ordermin.near_classes(docs(spark, [(i, t, None) for i, t in rows])).collect()}
+    assert len(got) == len(rows)
+    of = lambda i, t: got[i, t and hashlib.md5(t.encode()).hexdigest()]
+    assert of(5, a).class_key == of(9, a + " more").class_key != of(5, b).class_key == of(10, b + " more").class_key == of(None, b).class_key
+    assert {x.class_id for x in got.values()} == {5, 11, None} and of(*rows[4]).class_id is None
+    assert of(11, "x").class_key != of(11, "y").class_key and of(11, None).class_key is None
+
+
 def test_near_classes_find_every_similar_pair(spark, data_dir):
     from riskweave.llm.align import similar
     from riskweave.llm.words import combine, hash_words
 
-    documents = table(spark, data_dir, "documents")
+    documents = table(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else data_dir, "documents")
     rows = {x.doc_id: x.text for x in documents.collect()}
     of = {x.doc_id: x.class_id for x in ordermin.near_classes(documents).collect()}
     hashes, offsets = hash_words(rows.values())
@@ -137,6 +151,8 @@ def test_near_classes_find_every_similar_pair(spark, data_dir):
     links, ids = 0, sorted(rows)
     for n, i in enumerate(ids):
         for j in ids[:n]:
+            if not 0.8 <= len(shingles[i]) / max(1, len(shingles[j])) <= 1.25:
+                continue
             common = len(shingles[i] & shingles[j])
             if common and common >= 0.8 * (len(shingles[i]) + len(shingles[j]) - common):
                 if similar(words[i].tolist(), words[j].tolist(), 0.8) is not None:
@@ -185,7 +201,7 @@ def _one_bucket(prepare):
         import pyarrow as pa
         for batch in prepare(batches):
             same = pa.array([[1] if n else [] for n in batch.column("n_words").to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], same], ["doc_id", "words_key", "n_words", "sketches"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], same], ["doc_id", "text_md5", "words_key", "n_words", "sketches"])
     return sketches_agree
 
 
@@ -205,7 +221,7 @@ def test_overlaps_leave_out_no_link(spark):
     sets = [ordermin.shingle_set(hashes[s:e]) for s, e in zip(offsets, offsets[1:])]
     want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i) if ordermin.overlapping(sets[i], sets[j])
             and min(len(texts[i]), len(texts[j])) >= 0.8 * max(len(texts[i]), len(texts[j]))}
-    df = spark.createDataFrame([(i, len(t), " ".join(t), i) for i, t in enumerate(texts)], "doc_id long, n_words long, text string, component long")
+    df = spark.createDataFrame([(i, len(t), " ".join(t), i) for i, t in enumerate(texts)], "node long, n_words long, text string, component long")
     rows = ordermin.overlaps(df).collect()
     got = {frozenset((x.a, x.b)) for x in rows}
     assert len(got) == len(rows) < 30 * 90 and want <= got and want
