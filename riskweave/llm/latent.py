@@ -2,22 +2,31 @@
 
 Every document is written once as the sequence of benchmark word numbers (0: a word that no item has). Its
 passages of 32 words are TF-IDF rows over those words; a randomised SVD of all passages of all documents gives
-a latent space (two passes of sums by word, added up in Spark). Windows of 32 words, 16 apart, and items are
-compared by cosine in that space, scaled by the singular values. A near enough pair is confirmed by the
-longest common subsequence of the item and the words around the window (60 % of the item), and by the same for
-the item's answer, its closing sentence (50 %). Paraphrases that keep most words in order are thus found.
+a latent space (two passes of sums by word, added up in Spark). Windows of the documents and items are compared by
+cosine in that space, scaled by the singular values:
+
+* an item of 16 to 64 words with all windows of 32 words, 16 apart;
+* a longer one in parts of about 48 words, each of which may find its place, as one window is little of the whole;
+* a shorter one with windows of its own size, since it is little of a long one. They lie where one of its rarest words
+  stands in its place; so many of these are tried that a text with 60 % of the item holds one of them.
+
+A near enough pair is confirmed by the longest common subsequence of the whole item and the words around the window (60 %
+of the item), and by the same for the item's answer, its closing sentence (50 %). Paraphrases that keep most words in
+order are thus found.
 
 Words in over a tenth of the passages carry no weight, unless an item has fewer than four others. The items are
-the stated query set: they are taken in blocks of at most 5000, each with its own space, so that nothing held
-in a task grows with the documents or the item count.
+the stated query set: distinct texts are dealt by hash to blocks of about 5000, each with its own space, so that nothing
+held in a task grows with the documents or the item count.
 
 Defined results: null and wordless texts match nothing; an item under five words is no evidence and matches
 nothing; items with a null id or text are left out. Repeated items and rows are each reported. With no
-documents or no items the result is empty. Further columns of either table are ignored.
+documents or no items the result is empty. Further columns of either table are ignored. text_md5 tells rows of one
+doc_id apart.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -40,21 +49,45 @@ COSINE = 0.45
 MATCHED = 0.6
 ANSWERED = 0.5
 SHORTEST = 5
+SHORT = 16  # items below this many words are compared with windows of their own size
+PART = 48  # words of a part of an item of more than two passages
 SLICE = 256  # words per message of partial sums
 LANES = 64
-_MATCHES = "doc_id long, item_id long, cosine double, matched double, answered double, first_word long"
+_CODED = "doc_id long, text_md5 string, numbers binary"
+_MATCHES = "doc_id long, text_md5 string, item int, cosine double, matched double, answered double, first_word long"
 
 
 class _Items:
-    """A block of benchmark items as word numbers."""
+    """A block of benchmark texts as word numbers."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids = np.asarray([x for x, _ in rows], np.int64)
-        hashes, offsets = hash_words([x for _, x in rows])
+    def __init__(self, texts: list[str]):
+        hashes, offsets = hash_words(texts)
         self.vocabulary = np.unique(hashes)
         numbers = np.searchsorted(self.vocabulary, hashes).astype(np.int64) + 1
         self.words = [numbers[s:e] for s, e in zip(offsets, offsets[1:])]
-        self.answers = [w[-n:] if n else w for w, n in zip(self.words, (_answer_size(x) for _, x in rows))]
+        self.answers = [w[-n:] if n else w for w, n in zip(self.words, map(_answer_size, texts))]
+
+    def parts(self) -> tuple[list[int], list[np.ndarray]]:
+        """(item, words) of what is compared with windows of a passage's size."""
+        cut = [(i, part) for i, w in enumerate(self.words) if len(w) >= SHORT
+               for part in np.array_split(w, 1 if len(w) <= 2 * PASSAGE else -(-len(w) // PART))]
+        return [i for i, _ in cut], [part for _, part in cut]
+
+    def anchors(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first entry of each word, item, place of the word in it): the rarest words of short items."""
+        word, item, place = [], [], []
+        for i, w in enumerate(self.words):
+            if SHORTEST <= len(w) < SHORT:
+                # A match of MATCHED of the words leaves out fewer than these.
+                rarest = np.argsort(-weights[w], kind="stable")[: len(w) - math.ceil(MATCHED * len(w)) + 1]
+                word.append(w[rarest])
+                item.append(np.full(len(rarest), i))
+                place.append(rarest)
+        if not word:
+            return np.zeros(len(weights) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        word, item, place = map(np.concatenate, (word, item, place))
+        order = np.argsort(word, kind="stable")
+        return np.searchsorted(word[order], np.arange(len(weights) + 1)), item[order], place[order]
 
 
 def _answer_size(text: str) -> int:
@@ -73,24 +106,25 @@ def _number(vocabulary: np.ndarray):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, marks = batch.column("doc_id"), batch.column("text_md5")
             for lo in range(0, len(ids), 256):
                 hashes, offsets = hash_words(batch.column("text")[lo : lo + 256].to_pylist())
                 at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
                 number = np.where(vocabulary[at] == hashes, at + 1, 0).astype(dtype)
                 yield pa.RecordBatch.from_arrays(
-                    [ids[lo : lo + 256], pa.array([number[s:e].tobytes() for s, e in zip(offsets, offsets[1:])], pa.binary())],
-                    ["doc_id", "numbers"])
+                    [ids[lo : lo + 256], marks[lo : lo + 256],
+                     pa.array([number[s:e].tobytes() for s, e in zip(offsets, offsets[1:])], pa.binary())],
+                    ["doc_id", "text_md5", "numbers"])
     return encode, dtype
 
 
 def _documents(batches: Iterator[pa.RecordBatch], dtype, most: int = 400_000):
-    """(ids, numbers, offsets) of groups of encoded documents."""
+    """((id, mark) of each, numbers, offsets) of groups of encoded documents."""
     ids, parts, total = [], [], 0
     for batch in batches:
-        for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("numbers")):
+        for doc, mark, raw in zip(batch.column("doc_id").to_pylist(), batch.column("text_md5").to_pylist(), batch.column("numbers")):
             part = np.frombuffer(raw.as_buffer(), dtype)
-            ids.append(doc)
+            ids.append((doc, mark))
             parts.append(part)
             total += len(part)
             if total > most:
@@ -141,7 +175,7 @@ def _range_sums(weights: np.ndarray, basis: np.ndarray, dtype):
             weight = weights[word]
             kept = weight > 0
             word, block, weight = word[kept], block[kept], weight[kept]
-            _, group = np.unique(block, return_inverse=True)
+            group = np.cumsum(np.concatenate(([0], block[1:] != block[:-1]))) if len(block) else block
             norm = np.bincount(group, weight * weight)
             _, rows = _row_sums(group, basis[word] * weight[:, None])
             if not len(rows):
@@ -206,98 +240,148 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _search(items: _Items, space: np.ndarray, dtype):
-    known = [i for i, w in enumerate(items.words) if len(w) >= SHORTEST]
-    asked = _unit(np.stack([space[items.words[i]].sum(axis=0) for i in known])).T.copy() if known else None
+class _Confirm:
+    """The best confirmed match of each document and item among a group of documents."""
+
+    def __init__(self, items: _Items, numbers: np.ndarray, offsets: np.ndarray):
+        self.items, self.numbers, self.offsets = items, numbers, offsets
+        self.best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
+        self.window: tuple[int, int] | None = None
+
+    def _reachable(self, i: int, bag: frozenset) -> bool:
+        """Whether enough words of the item are there at all; no subsequence is longer."""
+        words, own, single = self.items.plain[i]
+        common = own & bag
+        return (len(common) if single else sum(x in common for x in words)) >= MATCHED * len(words)
+
+    def try_(self, doc: int, i: int, at: int, width: int, cosine: float) -> None:
+        """Align item `i` with the words around the window of `width` words that begins at `at`."""
+        if (at, width) != self.window:
+            self.window, self.around = (at, width), {}
+        low, high = int(self.offsets[doc]), int(self.offsets[doc + 1])
+        known = self.best.get((doc, i), (0.0,))
+        words = self.items.plain[i][0]
+        size = len(words)
+        if known[0] == 1 and known[1] >= cosine:
+            return
+        room = 1 << size.bit_length()  # few different surroundings a window
+        if room not in self.around:
+            self.around[room] = frozenset(self.numbers[max(low, at - room) : min(high, at + width + room)].tolist())
+        if not self._reachable(i, self.around[room]):
+            return
+        region = self.numbers[max(low, at - size) : min(high, at + width + size)].tolist()
+        if not self._reachable(i, frozenset(region)):
+            return
+        matched = common_subsequence(words, region) / size
+        if matched < MATCHED:
+            return
+        answer = self.items.answers[i].tolist()
+        answered = common_subsequence(answer, region) / len(answer)
+        if answered < ANSWERED:
+            return
+        new = (matched, cosine, answered, max(low, at) - low)
+        if new > known:
+            self.best[doc, i] = new
+
+
+def _own_windows(items: _Items, anchors, asked: np.ndarray, space: np.ndarray, numbers: np.ndarray, offsets: np.ndarray):
+    """(document, item, start, cosine) of windows of short items' own sizes that are near to them."""
+    first, item, place = anchors
+    sizes = np.asarray([len(w) for w in items.words])
+    count = np.diff(first)
+    spot = np.flatnonzero(count[numbers])
+    step = max(1, 100_000 // max(1, int(count.max(initial=0))))
+    for lo in range(0, len(spot), step):
+        at = spot[lo : lo + step]
+        n = count[numbers[at]]
+        entry = np.repeat(first[numbers[at]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        doc = np.repeat(np.searchsorted(offsets, at, side="right") - 1, n)
+        own, start = item[entry], np.repeat(at, n) - place[entry]
+        # Several anchors of one copy give the same window.
+        doc, own, start = np.unique(np.stack((doc, own, start)), axis=1)
+        for part in range(0, len(own), 16_384):
+            d, i, s = doc[part : part + 16_384], own[part : part + 16_384], start[part : part + 16_384]
+            total = np.zeros((len(i), space.shape[1]), np.float32)
+            for k in range(int(sizes[i].max())):
+                there = (k < sizes[i]) & (s + k >= offsets[d]) & (s + k < offsets[d + 1])
+                total[there] += space[numbers[s[there] + k]]
+            cosine = (_unit(total) * asked[i]).sum(axis=1)
+            for j in np.flatnonzero(cosine >= COSINE).tolist():
+                yield int(d[j]), int(i[j]), int(s[j]), float(cosine[j])
+
+
+def _search(items: _Items, weights: np.ndarray, space: np.ndarray, dtype):
+    known, parts = items.parts()
+    asked = _unit(np.stack([space[w].sum(axis=0) for w in parts])).T.copy() if known else None
+    anchors = items.anchors(weights)
+    whole = _unit(np.stack([space[w].sum(axis=0) for w in items.words]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {i: items.words[i].tolist() for i in known}
-        answers = {i: items.answers[i].tolist() for i in known}
-        bags = {i: frozenset(w) for i, w in words.items()}
-        single = {i: len(bags[i]) == len(words[i]) for i in known}
+        items.plain = [(w.tolist(), frozenset(w.tolist()), len(set(w.tolist())) == len(w)) for w in items.words]
         live = space.any(axis=1)
-
-        def reachable(i: int, bag: frozenset) -> bool:
-            """Whether enough words of the item are there at all; no subsequence is longer."""
-            common = bags[i] & bag
-            return (len(common) if single[i] else sum(x in common for x in words[i])) >= MATCHED * len(words[i])
-
-        for ids, numbers, offsets in _documents(batches, dtype, 100_000) if known else ():
-            place, block, first = _blocks(numbers, offsets, STRIDE)
-            weighty = live[numbers[place]]
-            found, sums = _row_sums(block[weighty], space[numbers[place[weighty]]])
-            rows = np.zeros((first[-1] + 1, space.shape[1]), np.float32)
-            rows[found] = sums
-            inner = np.ones(first[-1], bool)
-            inner[first[1:][np.diff(first) > 0] - 1] = False
-            rows[:-1][inner] += rows[1:][inner]
-            rows = _unit(rows[:-1])
-            best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
-            owner = np.repeat(np.arange(len(ids)), np.diff(first))
-            step = max(1, 8_000_000 // len(known))
-            for lo in range(0, len(rows), step):
-                cosine = rows[lo : lo + step] @ asked
-                window, item = np.nonzero(cosine >= COSINE)
-                seen = -1
-                for w, k, c in zip((window + lo).tolist(), item.tolist(), cosine[window, item].tolist()):
-                    if w != seen:
-                        seen, doc = w, owner[w]
-                        at = int(offsets[doc]) + (w - int(first[doc])) * STRIDE
-                        low, high = int(offsets[doc]), int(offsets[doc + 1])
-                        around: dict[int, frozenset] = {}
-                    i = known[k]
-                    size = len(words[i])
-                    room = 1 << size.bit_length()  # few different surroundings a window
-                    if room not in around:
-                        around[room] = frozenset(numbers[max(low, at - room) : min(high, at + PASSAGE + room)].tolist())
-                    if not reachable(i, around[room]):
-                        continue
-                    region = numbers[max(low, at - size) : min(high, at + PASSAGE + size)].tolist()
-                    if not reachable(i, frozenset(region)):
-                        continue
-                    matched = common_subsequence(words[i], region) / size
-                    if matched < MATCHED:
-                        continue
-                    answered = common_subsequence(answers[i], region) / len(answers[i])
-                    if answered < ANSWERED:
-                        continue
-                    new = (matched, c, answered, at - int(offsets[doc]))
-                    if new > best.get((doc, i), (0.0,)):
-                        best[doc, i] = new
-            rows_out = [(ids[d], int(items.ids[i]), c, m, a, p) for (d, i), (m, c, a, p) in sorted(best.items())]
+        for ids, numbers, offsets in _documents(batches, dtype, 100_000):
+            confirm = _Confirm(items, numbers, offsets)
+            if known:
+                place, block, first = _blocks(numbers, offsets, STRIDE)
+                weighty = live[numbers[place]]
+                found, sums = _row_sums(block[weighty], space[numbers[place[weighty]]])
+                rows = np.zeros((first[-1] + 1, space.shape[1]), np.float32)
+                rows[found] = sums
+                inner = np.ones(first[-1], bool)
+                inner[first[1:][np.diff(first) > 0] - 1] = False
+                rows[:-1][inner] += rows[1:][inner]
+                rows = _unit(rows[:-1])
+                owner = np.repeat(np.arange(len(ids)), np.diff(first))
+                step = max(1, 8_000_000 // len(known))
+                for lo in range(0, len(rows), step):
+                    cosine = rows[lo : lo + step] @ asked
+                    window, item = np.nonzero(cosine >= COSINE)
+                    for w, k, c in zip((window + lo).tolist(), item.tolist(), cosine[window, item].tolist()):
+                        doc = int(owner[w])
+                        confirm.try_(doc, known[k], int(offsets[doc]) + (w - int(first[doc])) * STRIDE, PASSAGE, c)
+            if len(anchors[1]):
+                for doc, i, at, c in _own_windows(items, anchors, whole, space, numbers, offsets):
+                    confirm.try_(doc, i, at, len(items.words[i]), c)
+            rows_out = [(*ids[d], i, c, m, a, p) for (d, i), (m, c, a, p) in sorted(confirm.best.items())]
             if rows_out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows_out), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()))],
-                    ["doc_id", "item_id", "cosine", "matched", "answered", "first_word"])
+                names = [x.split()[0] for x in _MATCHES.split(", ")]
+                types = (pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows_out), types)], names)
     return find
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, cosine, matched, answered, first_word): items found in each document of `docs` (doc_id, text).
+    """(doc_id, item_id, cosine, matched, answered, first_word, text_md5): items found in each document of `docs` (doc_id, text).
 
     One row for each row of `docs` and item, with the place where most of the item matches.
     """
     spark = docs.sparkSession
-    items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
-    blocks = -(-items.count() // BLOCK_ITEMS)
-    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))))
+    items = benchmark.filter("item_id is not null and text is not null").select(
+        F.col("item_id").cast("long"), "text", F.sha2("text", 256).alias("key"))
+    texts = items.select("key", "text").dropDuplicates(["key"])
+    blocks = -(-texts.count() // BLOCK_ITEMS)
     found = None
     for block in range(blocks):
-        rows = [(x.item_id, x.text) for x in items.filter(F.col("block") == block).collect()]
-        part = _block_leaks(docs, _Items(rows), scratch_path(spark, "coded")) if rows else None
+        rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
+        part = _block_leaks(docs, _Items([x.text for x in rows]), scratch_path(spark, "coded")) if rows else None
         if part is not None:
+            keys = spark.createDataFrame([(i, x.key) for i, x in enumerate(rows)], "item int, key string")
+            part = part.join(keys, "item").drop("item")
             found = part if found is None else found.union(part)
-    return spark.createDataFrame([], _MATCHES) if found is None else found
+    if found is None:
+        found = spark.createDataFrame([], _MATCHES).withColumn("key", F.lit("")).drop("item")
+    return found.join(items.select("key", "item_id"), "key").select(
+        "doc_id", "item_id", "cosine", "matched", "answered", "first_word", "text_md5")
 
 
 def _block_leaks(docs: DataFrame, items: _Items, path: str) -> DataFrame | None:
     if not len(items.vocabulary):
         return None
     encode, dtype = _number(items.vocabulary)
-    docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null").mapInArrow(
-        encode, "doc_id long, numbers binary").write.parquet(path)
-    coded = docs.sparkSession.read.schema("doc_id long, numbers binary").parquet(path)
+    docs.filter("text is not null").select(
+        F.col("doc_id").cast("long"), "text", F.md5(F.col("text").cast("binary")).alias("text_md5")).mapInArrow(encode, _CODED).write.parquet(path)
+    coded = docs.sparkSession.read.schema(_CODED).parquet(path)
     found = latent_space(coded, items, dtype)
     if found is None:
         return None
-    return coded.mapInArrow(_search(items, found[1], dtype), _MATCHES)
+    return coded.mapInArrow(_search(items, *found, dtype), _MATCHES)

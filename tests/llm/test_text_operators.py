@@ -248,6 +248,47 @@ def test_leaks(spark):
     assert latent.leaks(docs(spark, [(1, "x", None)]), benchmark.filter("item_id < 0")).count() == 0
 
 
+def test_leaks_of_items_of_all_lengths(spark):
+    """Copies of items of 5 to 1000 words are all found, paraphrases (a fifth of the words changed) nearly all."""
+    r = random.Random(21)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in ("a", "e", "io", "u") for c in ("n", "r", "st", "lo", "mi", "ta")] * 4
+    words = [f"{w}{i // 72 or ''}" for i, w in enumerate(words)]
+    text = lambda n: [words[min(int(r.paretovariate(0.6)) - 1, len(words) - 1)] if r.random() < 0.5 else r.choice(words) for _ in range(n)]
+    items, rows = [], [(i, " ".join(text(r.randrange(20, 400)))) for i in range(500)]
+    changed = set()
+    for size in (5, 6, 7, 8, 10, 12, 15, 16, 40, 64, 65, 100, 300, 500, 800, 1000):
+        for k in range(12):
+            own = text(size)
+            items.append((len(items), f"{' '.join(own)}."))
+            copy = list(own)
+            if k % 3 == 0 and size >= 10:
+                changed.add(len(items) - 1)
+                for at in r.sample(range(size - 3), size // 5):
+                    copy[at] = "other" if at % 2 else copy[at] + " more"
+            rows.append((10_000 + items[-1][0], " ".join(text(r.randrange(0, 90)) + copy + text(r.randrange(0, 90)))))
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    found = latent.leaks(docs(spark, [(i, t, None) for i, t in rows]), asked).collect()
+    got = {(x.doc_id, x.item_id) for x in found}
+    assert {(10_000 + i, i) for i, _ in items if i not in changed} <= got
+    assert len({(10_000 + i, i) for i in changed} & got) >= 0.9 * len(changed)
+    plain = {i: t.split() for i, t in rows}
+    # Whatever is found holds most of the item; five words of a small vocabulary may do so by chance.
+    for x in found:
+        assert x.matched >= latent.MATCHED and (x.item_id == x.doc_id - 10_000 or len(items[x.item_id][1].split()) < 16)
+        assert 0 <= x.first_word <= len(plain[x.doc_id])
+
+
+def test_leaks_of_repeated_items_in_blocks(spark, monkeypatch):
+    r = random.Random(22)
+    texts = [sentence(r, 30) for _ in range(9)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[0]) for i in range(20)]
+    monkeypatch.setattr(latent, "BLOCK_ITEMS", 3)
+    rows = [(1, f"{texts[0]} and {texts[5]}", None), (2, texts[8], None), (2, "another text", None)]
+    got = latent.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == sorted([(1, i) for i in (0, 5, *range(100, 120))] + [(2, 8)])
+    assert {x.text_md5 for x in got if x.doc_id == 2} == {hashlib.md5(texts[8].encode()).hexdigest()}
+
+
 def test_leaks_equal_brute_force_on_the_table(spark, data_dir):
     documents, benchmark = table(spark, data_dir, "documents"), table(spark, data_dir, "benchmark")
 
