@@ -1,8 +1,8 @@
 """Corpus preparation: language, near copies, benchmark leaks, secrets, tokens.
 
 Every stage takes (spark, docs, sf_dir) and returns a table that is written and read again as the next one's
-`docs`. All but the last return the columns of `documents`, and rows of a null doc_id pass every stage that
-cannot decide about them.
+`docs`. All but the last return the columns of `documents`. Every row is decided about by its own id and text: ids may be
+null or repeat with other texts. Rows that agree in both are one document; near_copies leaves one of them.
 """
 
 from __future__ import annotations
@@ -18,32 +18,36 @@ from riskweave.session import scratch_path, ship_package
 FARTHEST = 0.8  # share of the greatest out-of-place distance beyond which a text is in no known language
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id is in `kept` (distinct doc_id)."""
-    return docs.join(kept, "doc_id", "left_semi")
+def _same_row(docs: DataFrame, keys: DataFrame):
+    """The condition that a row of `docs` has the id and text of a row of `keys` (key_id, key_md5)."""
+    text = F.md5(docs["text"].cast("binary"))
+    return docs["doc_id"].cast("long").eqNullSafe(keys["key_id"]) & text.eqNullSafe(keys["key_md5"])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and texts that are far from every language learned from `docs`."""
     ship_package(spark)
-    found = langid.identify(docs)
-    bad = found.filter((F.col("lang_pred") == langid.UNKNOWN) | (F.col("distance") > FARTHEST))
-    return docs.join(bad.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    found = langid.identify(docs, row=True)
+    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("distance") <= FARTHEST)).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class, the one with the smallest doc_id."""
+    """Keeps one document of each near-duplicate class, the one with the smallest doc_id (a null one last)."""
     ship_package(spark)
-    classes = ordermin.near_classes(docs)
-    kept = classes.filter("doc_id = class_id").select("doc_id").distinct()
-    named = _only(docs, kept).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    classes = ordermin.near_classes(docs).filter("class_key is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
+    kept = classes.groupBy("class_key").agg(F.min(order).alias("it")).select(
+        F.col("it.doc_id").alias("key_id"), F.col("it.text_md5").alias("key_md5"))
+    named = docs.filter("text is not null").join(kept, _same_row(docs, kept), "left_semi")
+    named = named.withColumn("_text_md5", F.md5(F.col("text").cast("binary"))).dropDuplicates(["doc_id", "_text_md5"])
+    return named.drop("_text_md5").unionByName(docs.filter("text is null")).select(docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    found = latent.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    found = latent.leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("key_id"), F.col("text_md5").alias("key_md5")).distinct()
+    return docs.join(found, _same_row(docs, found), "left_anti").select(docs.columns)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
