@@ -1,99 +1,93 @@
 """Additive attributions of boosted trees in log-odds, and reasons per row.
 
 A leaf contributes to a coalition of features its value times, per feature on its path, either
-"the row satisfies the path" (feature known) or the share of training rows that do (unknown). The
-Shapley value of that product game depends only on which path features the row satisfies, so each
-leaf gets a table indexed by that bit pattern; a batch of rows is explained by table lookups.
+"the row satisfies the path" (feature known) or the share of training rows that do (unknown). The Shapley value of that
+product game for feature j is
+
+    value * (satisfied_j - share_j) * integral over t in (0, 1) of the product over i != j of (share_i * (1 - t) + satisfied_i * t),
+
+as the weight of a coalition of k among m features is the integral of t^k (1 - t)^(m - k - 1). The integrand has degree
+m - 1, so Gauss-Legendre quadrature with m / 2 points gives it exactly, for a path of any length and in m * m / 2 steps.
+Leaves with equally many features on their paths are computed together, for a batch of rows at a time.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskweave.models.trees import Matrix, saved_nodes
+from riskweave.models.boosting import Booster
+from riskweave.models.trees import Matrix
 from riskweave.session import ship_package
 
-# A leaf table has 2 ** (features on its path) entries.
-MAX_PATH_FEATURES = 12
-# The classifier's probability is 1 / (1 + exp(-2 * margin)), so log-odds are twice the margin.
-MARGIN_TO_LOG_ODDS = 2.0
+CELLS = 1_000_000  # numbers (rows x leaves x features on a path) handled at once
 
 
 @dataclass
-class Leaf:
-    features: np.ndarray  # feature index per bit
-    low: np.ndarray       # the row satisfies the path on a feature when low < x <= high
+class Leaves:
+    """Leaves with the same number of features on their paths; a row satisfies the path on a feature when low < x <= high."""
+
+    features: np.ndarray  # all of (leaves, features on the path)
+    low: np.ndarray
     high: np.ndarray
-    table: np.ndarray     # (2 ** bits, bits) contributions
-
-
-def _leaf_table(value: float, shares: Sequence[float]) -> np.ndarray:
-    """Shapley values of value * prod(known ? satisfied : share), for every pattern of satisfied bits."""
-    m = len(shares)
-    weights = [math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) for k in range(m)]
-    table = np.zeros((2 ** m, m))
-    for pattern in range(2 ** m):
-        ok = [(pattern >> i) & 1 for i in range(m)]
-        for j in range(m):
-            # Coefficient k of this polynomial sums the products over coalitions of k other features.
-            poly = np.array([1.0])
-            for i in range(m):
-                if i != j:
-                    poly = np.convolve(poly, [shares[i], float(ok[i])])
-            table[pattern, j] = value * (ok[j] - shares[j]) * float(np.dot(weights, poly))
-    return table
-
-
-def read_leaves(model: GBTClassificationModel, spark) -> tuple[list[Leaf], float]:
-    """Leaves of all trees, scaled to log-odds, and the expected log-odds. Size depends on the model only."""
-    ship_package(spark)
-    nodes: dict[int, dict[int, object]] = {}
-    for row in saved_nodes(model, spark).collect():
-        nodes.setdefault(row["treeID"], {})[row["id"]] = row
-    leaves, base = [], 0.0
-    for tree_id, scale in enumerate(model.treeWeights):
-        tree = nodes[tree_id]
-        stack = [(0, {}, 1.0)]
+    missing: np.ndarray   # whether a missing value satisfies the path
+    share: np.ndarray
+    value: np.ndarray     # (leaves,)
+
+
+def read_leaves(model: Booster) -> tuple[list[Leaves], float]:
+    """Leaves of all trees by number of features on the path, and the expected log-odds. Size depends on the model only."""
+    n, by_size, base = model.nodes, {}, model.base
+    for root in model.start.tolist():
+        stack = [(root, {}, 1.0)]
         while stack:
-            node_id, bounds, reached = stack.pop()
-            node = tree[node_id]
-            if node["leftChild"] < 0:
-                value = MARGIN_TO_LOG_ODDS * scale * node["prediction"]
+            at, bounds, reached = stack.pop()
+            if n["feature"][at] < 0:
+                value = float(n["value"][at])
                 base += reached * value
                 if bounds:
-                    if len(bounds) > MAX_PATH_FEATURES:
-                        raise ValueError(f"a path uses more than {MAX_PATH_FEATURES} features; train shallower trees")
-                    feats = sorted(bounds)
-                    leaves.append(Leaf(np.array(feats), np.array([bounds[f][0] for f in feats]),
-                                       np.array([bounds[f][1] for f in feats]),
-                                       _leaf_table(value, [bounds[f][2] for f in feats])))
+                    by_size.setdefault(len(bounds), []).append((sorted(bounds), [bounds[f] for f in sorted(bounds)], value))
                 continue
-            f, cut = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
-            low, high, share = bounds.get(f, (-np.inf, np.inf, 1.0))
-            for child, lo, hi in ((node["leftChild"], low, min(high, cut)), (node["rightChild"], max(low, cut), high)):
-                part = tree[child]["rawCount"] / node["rawCount"]
-                stack.append((child, {**bounds, f: (lo, hi, share * part)}, reached * part))
-    return leaves, base
-
-
-def attribute(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
+            f, cut, rows = int(n["feature"][at]), float(n["threshold"][at]), int(n["rows"][at])
+            low, high, missing, share = bounds.get(f, (-np.inf, np.inf, True, 1.0))
+            to_left = bool(n["missing_left"][at])
+            for child, lo, hi, lost in ((int(model.left[at]), low, min(high, cut), to_left), (int(model.right[at]), max(low, cut), high, not to_left)):
+                part = int(n["rows"][child]) / rows
+                stack.append((child, {**bounds, f: (lo, hi, missing and lost, share * part)}, reached * part))
+    out = []
+    for leaves in by_size.values():
+        column = lambda k: np.array([[b[k] for b in bounds] for _, bounds, _ in leaves])
+        out.append(Leaves(np.array([f for f, _, _ in leaves]), column(0), column(1), column(2), column(3), np.array([v for _, _, v in leaves])))
+    return out, base
+
+
+def attribute(x: np.ndarray, leaves: Sequence[Leaves]) -> np.ndarray:
+    """Contribution of each feature to each row's log-odds; NaN is a missing value."""
     out = np.zeros(x.shape)
-    for leaf in leaves:
-        pattern = np.zeros(len(x), dtype=np.int64)
-        for bit, (f, low, high) in enumerate(zip(leaf.features, leaf.low, leaf.high)):
-            pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << bit
-        out[:, leaf.features] += leaf.table[pattern]
+    for group in leaves:
+        size = group.features.shape[1]
+        points, weights = np.polynomial.legendre.leggauss(-(-size // 2))
+        order = np.argsort(group.features, axis=None, kind="stable")
+        names = group.features.ravel()[order]
+        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+        step = max(1, CELLS // group.features.size)
+        for lo in range(0, len(x), step):
+            value = x[lo : lo + step, group.features]
+            ok = np.where(np.isnan(value), group.missing, (value > group.low) & (value <= group.high)).astype(float)
+            total = np.zeros(ok.shape)
+            for t, w in zip((points + 1) / 2, weights / 2):
+                factor = group.share * (1 - t) + ok * t
+                total += w * factor.prod(axis=2, keepdims=True) / factor
+            total *= (ok - group.share) * group.value[:, None]
+            out[lo : lo + step, names[first]] += np.add.reduceat(total.reshape(len(total), -1)[:, order], first, axis=1)
     return out
 
 
-def attribution_udf(leaves: list[Leaf]):
+def attribution_udf(leaves: list[Leaves]):
     """Vectorised function from a row's feature values to its attributions, both arrays in layout order."""
     @F.pandas_udf("array<double>")
     def run(values: pd.Series) -> pd.Series:
@@ -101,10 +95,11 @@ def attribution_udf(leaves: list[Leaf]):
     return run
 
 
-def attributions(model: GBTClassificationModel, matrix: Matrix, df: DataFrame, id_col: str = "trans_num") -> DataFrame:
+def attributions(model: Booster, matrix: Matrix, df: DataFrame, id_col: str = "trans_num") -> DataFrame:
     """(id, base_value, one column per feature): log-odds contributions that add up to the row's margin."""
-    leaves, base = read_leaves(model, df.sparkSession)
-    explained = df.select(id_col, attribution_udf(leaves)(F.array(*[matrix.value(c) for c in matrix.columns])).alias("_a"))
+    ship_package(df.sparkSession)
+    leaves, base = read_leaves(model)
+    explained = df.select(id_col, attribution_udf(leaves)(matrix.vector()).alias("_a"))
     return explained.select(id_col, F.lit(base).alias("base_value"),
                             *[F.get("_a", F.lit(i)).alias(c) for i, c in enumerate(matrix.columns)])
 
@@ -115,19 +110,23 @@ def global_importance(attributed: DataFrame, columns: Sequence[str]) -> DataFram
     return one.unpivot([], list(columns), "feature", "mean_abs_attribution").orderBy(F.desc("mean_abs_attribution"), "feature")
 
 
+# The words of the response.
+TOWARDS, AWAY = "pushes_towards_fraud", "pushes_towards_legit"
+
+
 def top_reasons(names: Sequence[str], values: Sequence[Column], parts: Column, top: int) -> Column:
     """The `top` features by absolute attribution, with their value as text and their direction."""
     entry = lambda i: F.struct(
         (-F.abs(F.get(parts, F.lit(i)))).alias("order"), F.lit(i).alias("position"), F.lit(names[i]).alias("feature"),
         values[i].cast("string").alias("value"), F.get(parts, F.lit(i)).alias("attribution"),
-        F.when(F.get(parts, F.lit(i)) > 0, "pushes_towards_fraud").otherwise("pushes_towards_legit").alias("impact"))
+        F.when(F.get(parts, F.lit(i)) > 0, TOWARDS).otherwise(AWAY).alias("impact"))
     best = F.slice(F.array_sort(F.array(*[entry(i) for i in range(len(names))])), 1, top)
     return F.transform(best, lambda e: F.struct(*[e[n].alias(n) for n in ("feature", "value", "attribution", "impact")]))
 
 
-def reasons(model: GBTClassificationModel, matrix: Matrix, df: DataFrame, top: int = 6, id_col: str = "trans_num") -> DataFrame:
+def reasons(model: Booster, matrix: Matrix, df: DataFrame, top: int = 6, id_col: str = "trans_num") -> DataFrame:
     """(id, reasons) per row."""
-    leaves, _ = read_leaves(model, df.sparkSession)
-    parts = attribution_udf(leaves)(F.array(*[matrix.value(c) for c in matrix.columns]))
-    rows = df.withColumn("_a", parts)
+    ship_package(df.sparkSession)
+    leaves, _ = read_leaves(model)
+    rows = df.withColumn("_a", attribution_udf(leaves)(matrix.vector()))
     return rows.select(id_col, top_reasons(matrix.columns, [F.col(c) for c in matrix.columns], F.col("_a"), top).alias("reasons"))

@@ -437,7 +437,7 @@ def stream_online_features(spark, d):
 
 def stream_scores(spark, d):
     """Calibrated probability, decision and reasons of every event, scored as a stream."""
-    trained = training.train(tx.transactions(spark, d), SMALL_TREES)
+    trained = training.train(tx.transactions(spark, d))
     out = online.score_stream(_event_stream(spark, d), trained).drop("latency_ms")
     return online.run_to_end(out, scratch_path(spark, "scores"), scratch_path(spark, "scores-state"))
 
@@ -469,13 +469,9 @@ def without_tomek_links(spark, d):
 
 # ---- models -----------------------------------------------------------------------------------
 
-# Small settings keep the model queries short; the library's defaults are larger.
-SMALL_TREES = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.2}
-
-
 def train_report(spark, d):
     """The whole training job; one row of test metrics."""
-    trained = training.train(tx.transactions(spark, d), SMALL_TREES)
+    trained = training.train(tx.transactions(spark, d))
     test = {k: float(v) for k, v in trained.report["test"].items()}
     row = (trained.calibrator.method, float(trained.threshold), float(trained.report["val_pr_auc"]),
            float(trained.report["test_cost"]["cost_per_txn"]), *test.values())
@@ -487,7 +483,7 @@ def _fitted(spark, d):
     _, engineered = training.engineered_folds(tx.transactions(spark, d))
     fit = splits.take_fold(engineered, "fit")
     matrix = trees.Matrix.fit(fit, training.feature_columns(engineered))
-    return engineered, matrix, trees.fit_class_weighted(fit, matrix, **SMALL_TREES)
+    return engineered, matrix, trees.fit_class_weighted(fit, matrix)
 
 
 def batch_scores(spark, d):
@@ -521,26 +517,27 @@ def top_reasons(spark, d):
 
 
 def six_feature_baseline(spark, d):
-    return rounded(training.baseline(tx.transactions(spark, d), **SMALL_TREES))
+    return rounded(training.baseline(tx.transactions(spark, d)))
 
 
 def imbalance_comparison(spark, d):
     _, engineered = training.engineered_folds(tx.transactions(spark, d))
-    return rounded(training.compare_strategies(engineered, **SMALL_TREES))
+    return rounded(training.compare_strategies(engineered))
 
 
 def winner_on_test(spark, d):
+    """The best strategy of the comparison, refit on fit + val, on the test fold."""
     _, engineered = training.engineered_folds(tx.transactions(spark, d))
-    return rounded(training.confirm_on_test(engineered, "class_weight", **SMALL_TREES))
+    winner = training.compare_strategies(engineered).first()["approach"]
+    return rounded(training.confirm_on_test(engineered, winner))
 
 
 def tuning_trials(spark, d):
-    """Two seeded trials over a reduced range, scored on the validation fold."""
+    """25 guided trials over the whole space, each on the latest half of the fit fold, scored on the validation fold."""
     _, engineered = training.engineered_folds(tx.transactions(spark, d))
     fit, val = splits.take_fold(engineered, "fit"), splits.take_fold(engineered, "val")
     matrix = trees.Matrix.fit(fit, training.feature_columns(engineered))
-    space = {**tuning.SEARCH_SPACE, "maxIter": (3, 6, "int"), "maxDepth": (3, 4, "int"), "minInfoGain": (0.0, 0.001, "float")}
-    _, history = tuning.search(fit, val, matrix, trials=2, recent_share=0.5, space=space)
+    _, history = tuning.search(fit, val, matrix, trials=25, recent_share=0.5)
     rows = spark.createDataFrame([(t["trial"], t["pr_auc"]) for t in history], "trial int, pr_auc double")
     return rounded(ranking.running_best(rows, "trial", "pr_auc"))
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave import schema
 from riskweave.functions.scalar import decision
-from riskweave.models import trees, tuning
+from riskweave.models import boosting, trees, tuning
 from riskweave.operators import calibration, costs, encoders, features, imbalance, ranking, splits
 from riskweave.session import checkpointed
 from riskweave.sources import sinks, transactions as tx
@@ -27,7 +26,7 @@ class TrainedModel:
 
     features: features.FeatureModel
     matrix: trees.Matrix
-    trees: object
+    trees: boosting.Booster
     calibrator: calibration.Calibrator | None
     threshold: float
     report: dict = field(default_factory=dict)
@@ -39,11 +38,10 @@ class TrainedModel:
             scored = self.calibrator.transform(scored, "p").drop("p").withColumnRenamed("p_cal", "p")
         return scored.withColumn("decision", decision("p", self.threshold))
 
-
     def save(self, spark, path: str) -> None:
         """Encoders, layout, trees, recalibration and operating point below one folder."""
         self.features.encoders.save(f"{path}/encoders")
-        self.trees.write().overwrite().save(f"{path}/trees")
+        self.trees.save(spark, f"{path}/trees")
         if self.calibrator is not None:
             self.calibrator.save(f"{path}/calibrator")
         fm = self.features
@@ -60,7 +58,7 @@ class TrainedModel:
                                    night_hours=tuple(meta["night_hours"]), age_fill=meta["age_fill"], time_col=meta["time_col"],
                                    hot_share=meta["hot_share"], min_hot_rows=meta["min_hot_rows"])
         calibrator = calibration.Calibrator.load(f"{path}/calibrator", meta["calibrator"]) if meta["calibrator"] else None
-        return cls(fm, trees.Matrix(meta["columns"], meta["categories"]), GBTClassificationModel.load(f"{path}/trees"),
+        return cls(fm, trees.Matrix(meta["columns"], meta["categories"]), boosting.Booster.load(spark, f"{path}/trees"),
                    calibrator, meta["threshold"])
 
 

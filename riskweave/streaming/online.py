@@ -158,7 +158,6 @@ def score_stream(transactions: DataFrame, trained: TrainedModel, top: int = 5, *
 
     Without history in the frame, amount behaviour is neutral: mean = amount, spread and z-score 0.
     """
-    spark = transactions.sparkSession
     now_ms = F.unix_millis(F.current_timestamp())
     timed = transactions if "ingest_ms" in transactions.columns else transactions.withColumn("ingest_ms", now_ms)
     none = F.array().cast("array<string>")
@@ -175,8 +174,8 @@ def score_stream(transactions: DataFrame, trained: TrainedModel, top: int = 5, *
     frame = fm.encoders.transform(calendar_features(frame, fm.time_col, fm.night_hours))
 
     matrix = trained.matrix
-    leaves, _ = explain.read_leaves(trained.trees, spark)
-    frame = frame.withColumn("_parts", explain.attribution_udf(leaves)(F.array(*[matrix.value(c) for c in matrix.columns])))
+    leaves, _ = explain.read_leaves(trained.trees)
+    frame = frame.withColumn("_parts", explain.attribution_udf(leaves)(matrix.vector()))
     why = explain.top_reasons(matrix.columns, [F.col(c) for c in matrix.columns], F.col("_parts"), top)
     frame = frame.withColumn("reasons", F.transform(why, lambda r: F.struct(r["feature"].alias("feature"), r["value"].alias("value"),
                                                                            r["impact"].alias("impact"))))

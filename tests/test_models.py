@@ -2,17 +2,19 @@
 
 import itertools
 import math
+import random
+import statistics
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.models import explain, trees, tuning
+from riskweave.models import boosting, explain, trees, tuning
 from riskweave.plans import training
 from riskweave.operators import splits
 from riskweave.sources import runs, sinks
 
-SMALL = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}
+SMALL = {"trees": 3, "max_depth": 3, "learning_rate": 0.3}
 
 
 @pytest.fixture(scope="module")
@@ -32,17 +34,32 @@ def test_attributions_add_up(fitted):
     assert gap < 1e-9
 
 
-def test_leaf_table_equals_shapley_by_definition():
-    value, shares = 1.7, [0.3, 0.6, 0.25]
-    table = explain._leaf_table(value, shares)
-    for pattern in range(8):
-        ok = [(pattern >> i) & 1 for i in range(3)]
-        game = lambda known: value * math.prod(ok[i] if i in known else shares[i] for i in range(3))
-        for j in range(3):
-            rest = [i for i in range(3) if i != j]
-            want = sum(math.factorial(k) * math.factorial(2 - k) / 6 * (game({*s, j}) - game(set(s)))
-                       for k in range(3) for s in itertools.combinations(rest, k))
-            assert table[pattern, j] == pytest.approx(want)
+def test_attributions_equal_shapley_by_definition():
+    r = np.random.default_rng(5)
+    for size in (1, 2, 3, 4):
+        leaf = explain.Leaves(np.arange(size)[None], np.full((1, size), -np.inf), np.zeros((1, size)), np.ones((1, size), bool),
+                              r.uniform(0.1, 0.9, (1, size)), np.array([1.7]))
+        for pattern in range(2 ** size):
+            ok = [(pattern >> i) & 1 for i in range(size)]
+            game = lambda known: 1.7 * math.prod(ok[i] if i in known else leaf.share[0, i] for i in range(size))
+            want = [sum(math.factorial(k) * math.factorial(size - 1 - k) / math.factorial(size) * (game({*s, j}) - game(set(s)))
+                        for k in range(size) for s in itertools.combinations([i for i in range(size) if i != j], k)) for j in range(size)]
+            assert explain.attribute(np.array([[-1.0 if x else 1.0 for x in ok]]), [leaf])[0] == pytest.approx(want)
+
+
+def test_attributions_of_deep_paths(spark):
+    """Paths of more than twelve features, with missing values."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(4000, 18))
+    y = ((x > 0).sum(axis=1) + r.normal(size=4000) > 9).astype(int)
+    x[r.random(x.shape) < 0.05] = np.nan
+    rows = spark.createDataFrame([([None if math.isnan(v) else float(v) for v in a], int(b), 1.0) for a, b in zip(x, y)],
+                                 "x array<double>, y int, weight double")
+    model = boosting.fit(rows, 18, trees=12, leaves=255, min_rows=1, learning_rate=0.2)
+    leaves, base = explain.read_leaves(model)
+    assert max(g.features.shape[1] for g in leaves) >= 12
+    part = explain.attribute(x[:300], leaves)
+    assert part.sum(axis=1) + base == pytest.approx(model.margin(x[:300]), abs=1e-9)
 
 
 def test_reasons_are_ordered(fitted):
@@ -58,7 +75,7 @@ def test_reasons_are_ordered(fitted):
 def test_split_counts(fitted, spark):
     _, matrix, model = fitted
     counts = trees.split_counts(model, matrix, spark).toPandas()
-    assert counts.splits.sum() == sum((t.numNodes - 1) // 2 for t in model.trees) and len(counts) == len(matrix.columns)
+    assert counts.splits.sum() == (model.nodes["feature"] >= 0).sum() > 0 and len(counts) == len(matrix.columns)
 
 
 def test_importance_tables(fitted, spark):
@@ -88,19 +105,18 @@ def test_training_job_and_records(transactions, spark, tmp_path):
     runs.log_run(spark, table, "two", {}, {"pr_auc": 0.3})
     assert [r["run_id"] for r in runs.best_runs(spark, table).collect()] == ["two", "one"]
 
-    trained.trees.write().overwrite().save(str(tmp_path / "model"))
+    trained.trees.save(spark, str(tmp_path / "model"))
     versions = str(tmp_path / "versions")
     runs.assign_alias(spark, versions, "fraud", 1, str(tmp_path / "old"), "serving")
     runs.assign_alias(spark, versions, "fraud", 2, str(tmp_path / "model"), "serving")
-    from pyspark.ml.classification import GBTClassificationModel
-    again = GBTClassificationModel.load(runs.resolve(spark, versions, "fraud", "serving"))
-    assert again.treeWeights == trained.trees.treeWeights
+    again = boosting.Booster.load(spark, runs.resolve(spark, versions, "fraud", "serving"))
+    assert again.trees == trained.trees.trees and (again.nodes["value"] == trained.trees.nodes["value"]).all()
     with pytest.raises(LookupError):
         runs.resolve(spark, versions, "fraud", "none")
 
 
 def test_model_round_trip(transactions, spark, tmp_path):
-    trained = training.train(transactions, {"maxIter": 2, "maxDepth": 2, "stepSize": 0.3})
+    trained = training.train(transactions, {"trees": 2, "max_depth": 2, "learning_rate": 0.3})
     trained.save(spark, str(tmp_path / "m"))
     again = training.TrainedModel.load(spark, str(tmp_path / "m"))
     rows = lambda m: sorted(m.score_features(m.features.transform(transactions)).collect())
@@ -117,24 +133,73 @@ def test_load_splits_or_file(transactions, spark, tmp_path):
         training.load_train_test(spark, str(tmp_path / "none"))[0].count()
 
 
-def test_search_is_seeded_and_in_range():
-    import random
-    a, b = tuning.draw(random.Random(1)), tuning.draw(random.Random(1))
-    assert a == b
-    for name, (low, high, _) in tuning.SEARCH_SPACE.items():
-        assert low <= float(a[name]) <= high
-
-
-def test_timeout_keeps_the_first_trial(fitted):
+def plain_log_density(values, low, high, x):
+    """The mixture's log density, written out."""
+    marks = sorted([(v, i) for i, v in enumerate([*values, (low + high) / 2])])
+    line = [low, *[v for v, _ in marks], high]
+    total = 0
+    for k, (centre, i) in enumerate(marks):
+        width = max(line[k + 1] - line[k], line[k + 2] - line[k + 1])
+        width = min(max(width, (high - low) / min(100, len(marks) + 1)), high - low) if i < len(values) else high - low
+        normal = statistics.NormalDist(centre, width)
+        total += normal.pdf(x) / (normal.cdf(high) - normal.cdf(low))
+    return math.log(total / len(marks))
+
+
+def test_proposals_follow_the_estimator():
+    r = random.Random(4)
+    log = [{"trial": i, "params": tuning.propose([], [], i), "pr_auc": r.random()} for i in range(30)]
+    for t in log:
+        for name, (low, high, kind) in tuning.SEARCH_SPACE.items():
+            assert low <= t["params"][name] <= high and (kind == "float" or kind == "log" or isinstance(t["params"][name], int))
+    assert len({t["params"]["trees"] for t in log}) > 5 and all(t["params"]["trees"] % 50 == 0 for t in log)
+    pending = [tuning.propose(log, [], 30)]
+    assert tuning.propose(log, pending, 31) == tuning.propose(log, pending, 31) != tuning.propose(log, [], 32)
+
+    best = sorted(log, key=lambda t: -t["pr_auc"])[:3]
+    rest = [t["params"] for t in log if t not in best] + pending
+    rng, want = np.random.default_rng((42, 31)), {}
+    for name, (low, high, kind) in tuning.SEARCH_SPACE.items():
+        place = math.log if kind == "log" else float
+        half = {"int": 0.5, "step50": 25}.get(kind, 0)
+        a, b = (math.log(low), math.log(high)) if kind == "log" else (low - half, high + half)
+        good, bad = [place(t["params"][name]) for t in best], [place(p[name]) for p in rest]
+        near = tuning.Density(good, a, b)
+        drawn = [near.draw(rng) for _ in range(24)]
+        x = max(drawn, key=lambda v: plain_log_density(good, a, b, v) - plain_log_density(bad, a, b, v))
+        want[name] = math.exp(x) if kind == "log" else x if kind == "float" else low + round((x - low) / (2 * half)) * 2 * half
+    got = tuning.propose(log, pending, 31)
+    assert {k: got[k] for k in want} == pytest.approx({k: min(max(v, tuning.SEARCH_SPACE[k][0]), tuning.SEARCH_SPACE[k][1]) for k, v in want.items()})
+
+
+def test_estimator_beats_chance():
+    aim = {name: (lo * hi) ** 0.5 if kind == "log" else lo + (hi - lo) * 0.7 for name, (lo, hi, kind) in tuning.SEARCH_SPACE.items()}
+
+    def value(p):
+        return -sum(((math.log(p[k] / aim[k]) / math.log(hi / lo)) if kind == "log" else (p[k] - aim[k]) / (hi - lo)) ** 2
+                    for k, (lo, hi, kind) in tuning.SEARCH_SPACE.items())
+    wins = 0
+    for seed in range(5):
+        guided, chance = [], [value(tuning.propose([], [], i, seed + 100)) for i in range(60)]
+        while len(guided) < 60:
+            p = tuning.propose(guided, [], len(guided), seed)
+            guided.append({"params": p, "pr_auc": value(p)})
+        wins += max(t["pr_auc"] for t in guided) > max(chance)
+    assert wins >= 4
+
+
+def test_timeout_keeps_the_first_round(fitted):
     engineered, matrix, _ = fitted
     fit, val = splits.take_fold(engineered, "fit"), splits.take_fold(engineered, "val")
-    space = {"maxIter": (2, 2, "int"), "maxDepth": (2, 2, "int")}
+    space = {"trees": (2, 2, "int"), "max_depth": (2, 2, "int"), "l2": (0.1, 1.0, "log")}
     ticks = iter(range(0, 1000, 100))
-    best, history = tuning.search(fit, val, matrix, trials=5, timeout_s=50, space=space, clock=lambda: next(ticks))
-    assert len(history) == 1 and best == history[0]["params"]
+    best, history = tuning.search(fit, val, matrix, trials=5, timeout_s=50, space=space, at_once=2, clock=lambda: next(ticks))
+    assert [t["trial"] for t in history] == [0, 1] and best in [t["params"] for t in history]
+    _, again = tuning.search(fit, val, matrix, trials=3, space=space, at_once=2)
+    assert again[:2] == history and len(again) == 3
 
 
 def test_refit_with_validation_rows(transactions):
-    trained = training.train(transactions, {"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}, calibration_method="sigmoid",
+    trained = training.train(transactions, {"trees": 2, "max_depth": 2, "learning_rate": 0.3}, calibration_method="sigmoid",
                              refit_with_validation=True)
     assert trained.calibrator.method == "sigmoid" and 0 <= trained.report["test"]["roc_auc"] <= 1
