@@ -8,8 +8,8 @@ share a sketch are candidates; a candidate pair is a link if the sets of their f
 similarity (1 - edits / longer length) of at least 0.8. Classes are the connected components.
 
 Equal word sequences are one node from the start, numbered once and for all, so that ids that repeat with other texts do
-no harm. In a bucket (texts with one sketch in common) each text is compared with the bucket's first; this is
-linear in groups of any size and joins most of each group. It decides nothing: all texts of buckets that still hold
+no harm. In a bucket (texts with one sketch in common) each text is compared with the bucket's first, the text that shares
+most buckets with others; this is linear in groups of any size and joins most of each group. It decides nothing: all texts of buckets that still hold
 several components go through an exact search (`overlaps`), so that every pair of different components that shares a
 bucket is verified or ruled out by a bound. The search orders the shingles by how many of these texts hold them, rare ones
 first. Two sets that overlap by 0.8 share a shingle among the first fifth of each, and among the first ninth
@@ -186,9 +186,14 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     """(node, label) of the nodes in links; None without links."""
     members = nodes.filter("n_words > 0").select("node", "exact_id", "n_words", F.posexplode("sketches").alias("band", "value"))
     members = members.select("node", "exact_id", "n_words", F.xxhash64("band", "value").alias("bucket"))
-    shared = members.groupBy("bucket").agg(
-        F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("n_words", "node").alias("first_words")).filter("first != last")
-    members = checkpointed(members.join(shared.drop("last"), "bucket").select("bucket", "node", "exact_id", "n_words", "first", "first_words"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = checkpointed(members.join(sizes, "bucket"))
+    # The first of a bucket is the text with the most company over all its buckets: what copies were made from, if anything.
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    firsts = members.join(company, "node").groupBy("bucket").agg(
+        F.max(F.struct("company", (-F.col("exact_id")).alias("id"), "node", "n_words")).alias("it")).select(
+        "bucket", F.col("it.node").alias("first"), F.col("it.n_words").alias("first_words"))
+    members = checkpointed(members.drop("n").join(firsts, "bucket"))
     bodies = _bodies(docs, nodes, members)
     near = F.least("n_words", "first_words") >= SIMILARITY * F.greatest("n_words", "first_words") - 1e-6
     tested = checkpointed(members.filter((F.col("node") != F.col("first")) & near).select(
