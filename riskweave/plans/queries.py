@@ -125,15 +125,15 @@ def categories(spark, d):
 
 
 def raw_csv_stack(spark, d):
-    """All transactions written as two raw CSV folders, one with a further first column, and stacked again."""
+    """All transactions written as raw CSV files of two layouts, one with a further first column, into one folder and stacked again."""
     t = tx.transactions(spark, d)
     there = {"trans_date_trans_time": F.date_format("trans_ts", "yyyy-MM-dd HH:mm:ss"), "unix_time": F.unix_timestamp("trans_ts")}
     columns = [(there[f.name] if f.name in there else F.col(f.name) if f.name in t.columns else F.lit("x")).alias(f.name)
                for f in schema.RAW_TRANSACTION]
-    paths = [scratch_path(spark, "raw") for _ in range(2)]
-    t.filter("trans_num % 2 = 0").select(F.monotonically_increasing_id().alias("index"), *columns).write.csv(paths[0], header=True)
-    t.filter("trans_num % 2 = 1").select(*columns[::-1]).write.csv(paths[1], header=True)
-    back = tx.parse_times(tx.read_csv(spark, *paths))
+    folder = scratch_path(spark, "raw")
+    t.filter("trans_num % 2 = 0").select(F.monotonically_increasing_id().alias("index"), *columns).write.csv(folder, header=True)
+    t.filter("trans_num % 2 = 1").select(*columns[::-1]).write.mode("append").csv(folder, header=True)
+    back = tx.parse_times(tx.read_csv(spark, folder))
     return rounded(back.select(F.col("trans_num").cast("long").alias("trans_num"), "cc_num", F.unix_timestamp("trans_ts").alias("clock_s"),
                                "amt", "category", "gender", F.col("city_pop").cast("int").alias("city_pop"), "is_fraud",
                                F.col("dob").isNull().cast("int").alias("dob_missing")))

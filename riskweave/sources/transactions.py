@@ -9,17 +9,17 @@ from riskweave.functions import scalar
 
 
 def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """Stack raw CSV files. Columns are found by the header's names, in any order and file by file.
+    """Stack raw CSV files. Columns are found by the header's names, in any order and file by file, also within a folder.
 
     Further columns, such as a leading index without a name, are left out; a missing name is an error. The types
-    are given, so no pass is spent on inference.
+    are given, so no pass is spent on inference. Files with one header are read together.
     """
     out = None
-    for path in paths:
-        text = spark.read.csv(path, header=True)  # all columns as text: only the header is looked at here
+    for header, files in _by_header(spark, paths).items():
+        text = spark.read.csv(files, header=True, enforceSchema=False)  # all columns as text: only the header is looked at here
         missing = [f.name for f in schema.RAW_TRANSACTION if f.name not in text.columns]
         if missing:
-            raise ValueError(f"{path} lacks column(s): {', '.join(missing)}")
+            raise ValueError(f"{files[0]} lacks column(s): {', '.join(missing)}")
         part = text.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.RAW_TRANSACTION])
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -27,6 +27,37 @@ def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
     return out
 
 
+def _by_header(spark: SparkSession, paths) -> dict[str, list[str]]:
+    """Files of paths, patterns and folders by their first line, which is all that is read of them here."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    out: dict[str, list[str]] = {}
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        store = target.getFileSystem(conf)
+        found = store.globStatus(target)
+        if found is None or not len(found):
+            raise FileNotFoundError(path)
+        for status in found:
+            root = len(status.getPath().toString())
+            files = store.listFiles(status.getPath(), True)
+            while files.hasNext():
+                file = files.next().getPath()
+                # As Spark does: names that begin with a mark are not data.
+                if any(part[:1] in ("_", ".") for part in file.toString()[root:].split("/")):
+                    continue
+                codec = codecs.getCodec(file)
+                stream = store.open(file)
+                try:
+                    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+                    header = reader.readLine()
+                finally:
+                    stream.close()
+                if header is not None:
+                    out.setdefault(header, []).append(file.toString())
+    return out
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder matches, in any store that Spark reaches."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,8 +1,8 @@
 """Online features from bounded per-card state, and scoring of a transaction stream.
 
-Each card keeps its newest MAX_HISTORY transactions. A transaction is scored from what the card
-held before it and is remembered afterwards, so it never sees itself. State sits in the state store
-next to the task that owns the card; a write renews the expiry of the whole list.
+Each card keeps its newest MAX_HISTORY transactions, and the number, mean and squared deviations of all its amounts. A
+transaction is scored from what the card held before it and is remembered afterwards, so it never sees itself. State
+sits in the state store next to the task that owns the card; a write renews the expiry of all of it.
 """
 
 from __future__ import annotations
@@ -40,6 +40,11 @@ ONLINE_COLUMNS = T.StructType([
     T.StructField("speed_kmh", T.DoubleType())])
 
 
+#: As `history_features` gives them, from all earlier transactions of the card.
+AMOUNT_COLUMNS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("amt_hist_mean", "amt_hist_std", "amt_zscore")])
+MOMENTS = T.StructType([T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()), T.StructField("m2", T.DoubleType())])
+
+
 def distance_km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     p1, p2 = math.radians(lat1), math.radians(lat2)
     chord = (math.sin((p2 - p1) / 2) ** 2
@@ -62,30 +67,53 @@ def online_features(now: int, lat: float, lon: float, past: np.ndarray, digits:
     return (*counts, *sums, cut(km), cut(gap_h), cut(km / max(gap_h, scalar.MIN_GAP_H)))
 
 
+def amount_behaviour(amounts: np.ndarray, held: tuple[int, float, float]) -> tuple[np.ndarray, tuple[int, float, float]]:
+    """(mean, spread and z-score of each amount against the earlier ones, the moments after all of them)."""
+    n, mean, m2 = held
+    out = np.empty((len(amounts), 3))
+    for k, amt in enumerate(amounts.tolist()):
+        std = math.sqrt(m2 / (n - 1)) if n > 1 else 0.0
+        out[k] = (mean if n else amt, std, (amt - mean) / std if std > 0 else 0.0)
+        n += 1
+        gap = amt - mean
+        mean += gap / n
+        m2 += gap * (amt - mean)
+    return out, (n, mean, m2)
+
+
 class CardHistory(StatefulProcessor):
-    """Per card: features from the held list, then append, keep the newest entries, write back."""
+    """Per card: features from the held list, then append, keep the newest entries, write back.
+
+    With `amounts` the moments of all earlier amounts are held and used too.
+    """
 
     def __init__(self, columns: Sequence[str], max_history: int = MAX_HISTORY, expiry_ms: int | None = IDLE_EXPIRY_MS,
-                 digits: int | None = 2):
+                 digits: int | None = 2, amounts: bool = False):
         self.columns, self.max_history, self.expiry_ms, self.digits = list(columns), max_history, expiry_ms, digits
+        self.amounts = amounts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.history = handle.getListState("history", HISTORY_ITEM, self.expiry_ms)
+        self.moments = handle.getValueState("moments", MOMENTS, self.expiry_ms) if self.amounts else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One card's share of one micro-batch; the source's rate limit bounds it.
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["clock_s", "trans_num"], kind="stable")
         held = np.array([tuple(item) for item in self.history.get()], dtype=float).reshape(-1, 4)
-        out, cold = [], []
-        for now, amt, lat, lon in batch[["clock_s", "amt", "merch_lat", "merch_long"]].itertuples(index=False):
-            cold.append(len(held) == 0)
-            out.append(online_features(int(now), lat, lon, held, self.digits))
-            held = np.vstack([held, (float(now), amt, lat, lon)])[-self.max_history:]
+        # Held rows and new ones in one array: the history of a row is a slice of it.
+        every = np.concatenate((held, batch[["clock_s", "amt", "merch_lat", "merch_long"]].to_numpy(float)))
+        times, first = batch["clock_s"].tolist(), len(held)
+        out = [online_features(int(now), *every[k, 2:].tolist(), every[max(0, k - self.max_history) : k], self.digits)
+               for k, now in enumerate(times, first)]
         # Rewriting the list gives every entry the same new expiry.
-        self.history.put([(int(r[0]), float(r[1]), float(r[2]), float(r[3])) for r in held])
-        result = batch[self.columns].reset_index(drop=True)
-        features = pd.DataFrame(out, columns=ONLINE_COLUMNS.names)
-        yield pd.concat([result, features, pd.Series(cold, name="cold_start")], axis=1)
+        self.history.put([(int(r[0]), r[1], r[2], r[3]) for r in every[-self.max_history :].tolist()])
+        parts = [batch[self.columns].reset_index(drop=True), pd.DataFrame(out, columns=ONLINE_COLUMNS.names),
+                 pd.Series(np.arange(first, len(every)) == 0, name="cold_start")]
+        if self.amounts:
+            behaviour, moments = amount_behaviour(every[first:, 1], tuple(self.moments.get()) if self.moments.exists() else (0, 0.0, 0.0))
+            self.moments.update(moments)
+            parts.insert(2, pd.DataFrame(behaviour, columns=AMOUNT_COLUMNS.names))
+        yield pd.concat(parts, axis=1)
 
     def close(self) -> None:
         pass
@@ -128,13 +156,17 @@ def quarantine(transactions: DataFrame) -> DataFrame:
 
 
 def with_online_features(transactions: DataFrame, max_history: int = MAX_HISTORY,
-                         expiry_ms: int | None = IDLE_EXPIRY_MS, digits: int | None = 2) -> DataFrame:
-    """Add online features and `cold_start` to a stream; transactions without usable history input are left out."""
+                         expiry_ms: int | None = IDLE_EXPIRY_MS, digits: int | None = 2, amounts: bool = False) -> DataFrame:
+    """Add online features (with `amounts` also amount behaviour) and `cold_start` to a stream.
+
+    Transactions without usable history input are left out here; `cold_defaults` has them.
+    """
     ship_package(transactions.sparkSession)
     rows = with_clock(transactions).filter(valid_input())
-    shape = T.StructType([*rows.schema.fields, *ONLINE_COLUMNS.fields, T.StructField("cold_start", T.BooleanType())])
+    shape = T.StructType([*rows.schema.fields, *ONLINE_COLUMNS.fields, *(AMOUNT_COLUMNS.fields if amounts else []),
+                          T.StructField("cold_start", T.BooleanType())])
     return rows.groupBy("cc_num").transformWithStateInPandas(
-        statefulProcessor=CardHistory(rows.columns, max_history, expiry_ms, digits), outputStructType=shape,
+        statefulProcessor=CardHistory(rows.columns, max_history, expiry_ms, digits, amounts), outputStructType=shape,
         outputMode="Append", timeMode="ProcessingTime" if expiry_ms else "None")
 
 
@@ -156,18 +188,19 @@ def overwrite_with_online(features: DataFrame, online: DataFrame, id_col: str =
 def score_stream(transactions: DataFrame, trained: TrainedModel, top: int = 5, **state_options) -> DataFrame:
     """Probability, decision, online features and reasons per transaction of a stream.
 
-    Without history in the frame, amount behaviour is neutral: mean = amount, spread and z-score 0.
+    Amount behaviour comes from the moments that a card's state holds, so that it means what it meant in training; a
+    transaction that the state can't take gets neutral values: mean = amount, spread and z-score 0.
     """
     now_ms = F.unix_millis(F.current_timestamp())
     timed = transactions if "ingest_ms" in transactions.columns else transactions.withColumn("ingest_ms", now_ms)
     none = F.array().cast("array<string>")
-    rows = with_online_features(timed, **state_options).withColumn("warnings", none).unionByName(
-        cold_defaults(timed).withColumn("warnings", F.array(F.lit(NO_INPUT_WARNING))))
+    neutral = {"amt_hist_mean": F.col("amt").cast("double"), "amt_hist_std": F.lit(0.0), "amt_zscore": F.lit(0.0)}
+    rows = with_online_features(timed, amounts=True, **state_options).withColumn("warnings", none).unionByName(
+        cold_defaults(timed).withColumns({**neutral, "warnings": F.array(F.lit(NO_INPUT_WARNING))}))
     fm = trained.features
     frame = schema.with_optional_defaults(rows)
     frame = frame.withColumn("online_features", F.struct(*ONLINE_COLUMNS.names))
-    frame = frame.withColumns({**{n: F.col(n).cast("double") for n in ("txn_count_1h", "txn_count_24h")},
-                               "amt_hist_mean": F.col("amt"), "amt_hist_std": F.lit(0.0), "amt_zscore": F.lit(0.0)})
+    frame = frame.withColumns({n: F.col(n).cast("double") for n in ("txn_count_1h", "txn_count_24h")})
     if "dob" in frame.columns:
         fill = F.lit(fm.age_fill).cast("double")
         frame = frame.withColumn("age", F.coalesce(F.round(scalar.age_years(fm.time_col, "dob"), 1), fill))
@@ -193,6 +226,22 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def write_apart(scored: DataFrame, path: str, rejected: str, checkpoint: str, available_now: bool = False):
+    """Scored events to `path`, those that the state could not take to `rejected`, each batch in a folder of its number.
+
+    A batch that is repeated after a failure overwrites what it wrote, so no row is lost or doubled in either sink.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        # Both sinks read the batch, and its state must be stepped once.
+        batch.persist()
+        bad = F.array_contains("warnings", NO_INPUT_WARNING)
+        for part, folder in ((batch.filter(~bad), path), (batch.filter(bad), rejected)):
+            part.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        batch.unpersist()
+    writer = scored.writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def run_to_end(df: DataFrame, path: str, checkpoint: str, timeout_s: int | None = None) -> DataFrame:
     """Run a stream over the data at hand and read back what it wrote; without `timeout_s` however long it takes."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave import schema
 from riskweave.functions import scalar
 from riskweave.operators import eda, splits
 from riskweave.sources import sinks, transactions as tx
@@ -11,6 +12,26 @@ HEADER = ("trans_date_trans_time,cc_num,merchant,category,amt,first,last,gender,
 LINE = "2020-06-21 12:14:25,{},m,misc_net,4.97,a,b,F,s,c,WI,1,45.8,-90.3,3495,j,{},t{},1371816865,36.0,-82.0,0\n"
 
 
+def test_a_folder_of_files_with_different_headers(spark, tmp_path):
+    names = [f.name for f in schema.RAW_TRANSACTION]
+    value = lambda n, k: {"cc_num": str(k), "amt": f"{k}.5", "trans_num": f"t{k}"}.get(n, "")
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    line = lambda columns, k: ",".join(value(n, k) for n in columns) + "\n"
+    (folder / "a.csv").write_text(",".join(names) + "\n" + line(names, 1) + line(names, 2))
+    (folder / "b.csv").write_text(",".join(names[::-1]) + "\n" + line(names[::-1], 3))
+    import gzip
+    with gzip.open(folder / "c.csv.gz", "wt") as file:
+        file.write("index," + ",".join(names) + "\n7," + line(names, 4))
+    (folder / "_note").write_text("not data")
+    (folder / "empty.csv").write_text("")
+    got = {(r.cc_num, r.amt, r.trans_num) for r in tx.read_csv(spark, str(folder)).collect()}
+    assert got == {(k, k + 0.5, f"t{k}") for k in (1, 2, 3, 4)}
+    (folder / "d.csv").write_text("cc_num,amt\n1,2\n")
+    with pytest.raises(ValueError, match="lacks column"):
+        tx.read_csv(spark, str(folder))
+
+
 def test_csv_files_stack_and_parse(spark, tmp_path):
     paths = []
     for i, dob in enumerate(("1988-03-09", "unknown")):
