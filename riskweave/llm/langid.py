@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from riskweave.llm.tables import held_out
-from riskweave.llm.words import codepoints, letters
+from riskweave.llm.words import codepoints, letters, marks
 
 PROFILE = 400  # n-grams of a profile
 MOST_LANGUAGES = 10_000  # languages have names, not rows: a table with more labels is refused
@@ -32,9 +32,14 @@ _SPACE = np.uint32(32)
 
 
 def _letters_only(text: str) -> np.ndarray:
-    """Code points of the lower-cased letters; everything between two words is one space, also at the ends."""
+    """Code points of the lower-cased letters; everything between two words is one space, also at the ends.
+
+    Combining marks go with letters; where there are only marks, nothing is left.
+    """
     codes = codepoints(f" {text.lower()} ")
     kept = letters()[codes]
+    if marks()[codes[kept]].all():
+        return codes[:1]
     edge = np.empty(len(kept), bool)
     edge[0] = True
     edge[1:] = kept[:-1]

@@ -39,6 +39,15 @@ def letters() -> np.ndarray:
     return table
 
 
+@cache
+def marks() -> np.ndarray:
+    """For each code point, whether it is a combining mark that is no letter by itself."""
+    table = np.zeros(0x110000, bool)
+    for code in np.flatnonzero(letters()).tolist():
+        table[code] = not chr(code).isalpha()
+    return table
+
+
 @cache
 def token_kinds() -> np.ndarray:
     """For each code point: 0 white space, 1 word, 2 any other mark."""
