@@ -1,4 +1,8 @@
-"""Class weights, synthetic minority rows and removal of borderline pairs."""
+"""Class weights, synthetic minority rows and removal of borderline pairs.
+
+Ids may be whole numbers of any size or texts. The searches work on whole numbers, so texts are numbered in their
+order, which keeps ties as they are, and turned back in the result.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions.scalar import uniform_from_id
 from riskweave.operators import neighbours
+from riskweave.operators.ordered import numbered, row_at_rank
 from riskweave.session import checkpointed
 
 # Fixed values.
@@ -26,6 +31,23 @@ def with_class_weight(df: DataFrame, weight: float, target: str = "is_fraud", ou
     return df.withColumn(out, F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
 
 
+def _whole_ids(df: DataFrame, id_col: str) -> bool:
+    return dict(df.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint")
+
+
+def _as_numbers(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """`df` with its ids replaced by their places in order, and the table (_number, _name) to turn them back."""
+    names = checkpointed(numbered(df.select(F.col(id_col).alias("_name")).distinct(), "_name"))
+    out = df.join(names, df[id_col] == names["_name"]).withColumn(id_col, F.col("_number")).drop("_name", "_number")
+    return out, names
+
+
+def _named(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """`df` with the numbers of `column` turned back."""
+    back = df.join(names, df[column] == names["_number"]).withColumn(column, F.col("_name"))
+    return back.select(df.columns)
+
+
 def _distinct_points(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
     """One row per point: lowest id and number of copies. Copies collapse before any shuffle."""
     return df.groupBy(*columns).agg(F.min(id_col).alias("point"), F.count("*").alias("copies"))
@@ -38,6 +60,14 @@ def minority_neighbours(minority: DataFrame, columns: Sequence[str], k: int = NE
     A row's own copies come first at distance 0 and stand for themselves as neighbours, so only
     distinct points are searched, and only as many neighbours as copies leave open are used.
     """
+    if not _whole_ids(minority, id_col):
+        given, names = _as_numbers(minority, id_col)
+        found = checkpointed(minority_neighbours(given, columns, k, id_col, **options))
+        item = F.struct("_at", *[F.col("_near.place"), F.col("_near.times"), F.col("_name").alias("neighbour")],
+                        *[F.col(f"_near.n_{c}") for c in columns])
+        near = found.select(id_col, F.posexplode("near").alias("_at", "_near")).join(names, F.col("_near.neighbour") == F.col("_number"))
+        near = near.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x.dropFields("_at")).alias("near"))
+        return _named(found.drop("near").join(near, id_col, "left").withColumn("near", F.coalesce("near", F.array().cast(dict(near.dtypes)["near"]))), names, id_col)
     points = checkpointed(_distinct_points(minority, id_col, columns))
     near = neighbours.nearest(points, points, "point", columns, k, **options)
     other = points.select(F.col("point").alias("neighbour"), F.col("copies").alias("n_copies"),
@@ -67,7 +97,9 @@ def synthetic_minority(df: DataFrame, columns: Sequence[str], k: int = NEIGHBOUR
     Every minority row gives the same number of rows; the remainder goes to the rows with the lowest
     hash of id and seed. Draws are hashes of id, copy and seed, so a re-run gives the same rows.
     """
-    minority = df.filter(F.col(target) == 1)
+    minority, names = df.filter(F.col(target) == 1), None
+    if not _whole_ids(df, id_col):
+        minority, names = _as_numbers(minority, id_col)
     need, have = rows_to_add(df, target, ratio), minority.count()
     if need == 0 or have < 2:
         return df.select(id_col, *[F.col(c).cast("double").alias(c) for c in columns], target).limit(0).withColumn("copy", F.lit(0))
@@ -78,28 +110,34 @@ def synthetic_minority(df: DataFrame, columns: Sequence[str], k: int = NEIGHBOUR
     copies = near.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
     pick = F.floor(uniform_from_id(F.col(id_col), F.col("copy"), F.lit("n"), F.lit(seed)) * F.size("near")).cast("int")
     copies = copies.withColumns({"_n": F.get("near", pick), "_u": uniform_from_id(F.col(id_col), F.col("copy"), F.lit("u"), F.lit(seed))})
-    return copies.select(id_col, *[(F.col(c) + F.col("_u") * (F.col(f"_n.n_{c}") - F.col(c))).alias(c) for c in columns],
-                         F.lit(1).alias(target), "copy")
+    out = copies.select(id_col, *[(F.col(c) + F.col("_u") * (F.col(f"_n.n_{c}") - F.col(c))).alias(c) for c in columns],
+                        F.lit(1).alias(target), "copy")
+    return out if names is None else _named(out, names, id_col)
 
 
 def _lowest(df: DataFrame, value: Column, id_col: str, rows: int) -> Column:
     """Condition for the `rows` rows with the lowest (value, id), found without sorting."""
     if rows <= 0:
         return F.lit(False)
-    from riskweave.operators.ordered import before, row_at_rank
     cell = (value * F.lit(4294967296.0)).cast("long")
     cut = row_at_rank(df.select(cell.alias("_c"), F.col(id_col).cast("long").alias("_i")), "_c", "_i", rows)
     return (cell < F.lit(cut[0])) | ((cell == F.lit(cut[0])) & (F.col(id_col) < F.lit(cut[1])))
 
 
 def oversample(df: DataFrame, columns: Sequence[str], target: str = "is_fraud", id_col: str = "trans_num", **options) -> DataFrame:
-    """The original rows and the synthetic ones (`copy` > 0), with new negative ids for the latter."""
+    """The original rows and the synthetic ones (`copy` > 0), with new ids for the latter.
+
+    New whole ids follow each other below 0 and below all there are; a new text id is made of the row's id and the copy.
+    """
     made = synthetic_minority(df, columns, target=target, id_col=id_col, **options)
-    original = df.select(F.col(id_col).cast("long").alias(id_col), *[F.col(c).cast("double").alias(c) for c in columns],
+    whole = _whole_ids(df, id_col)
+    original = df.select((F.col(id_col).cast("long") if whole else F.col(id_col)).alias(id_col), *[F.col(c).cast("double").alias(c) for c in columns],
                          F.col(target).cast("int").alias(target), F.lit(0).alias("copy"))
-    # Ids only have to be unique and reproducible: (id, copy) folded into one negative number.
-    most = made.agg(F.max("copy")).first()[0] or 1
-    fresh = made.withColumn(id_col, (-(F.col(id_col) * F.lit(most + 1) + F.col("copy")) - 1).cast("long"))
+    if whole:
+        low = min(0, original.agg(F.min(id_col)).first()[0] or 0)
+        fresh = numbered(made, id_col, "copy").withColumn(id_col, F.lit(low - 1).cast("long") - F.col("_number"))
+    else:
+        fresh = made.withColumn(id_col, F.concat_ws("#", F.lit("synthetic"), id_col, "copy"))
     return original.unionByName(fresh.select(original.columns))
 
 
@@ -109,6 +147,10 @@ def tomek_links(df: DataFrame, columns: Sequence[str], target: str = "is_fraud",
     A row with copies has a copy as its nearest row (the lowest other id), so links between different
     points only join points without copies.
     """
+    if not _whole_ids(df, id_col):
+        given, names = _as_numbers(df, id_col)
+        links = tomek_links(given, columns, target, id_col, **options)
+        return _named(_named(links, names, "low_id"), names, "high_id")
     flat = df.select(F.col(id_col).cast("long").alias("id"), F.col(target).cast("int").alias("y"),
                      *[F.col(c).cast("double").alias(c) for c in columns])
     points = checkpointed(flat.groupBy(*columns).agg(

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweave.session import checkpointed
+
 ROWS_PER_TASK = 2_000_000
 MAX_BUCKETS = 4096
 RANK_CELLS = 4096
@@ -167,3 +169,17 @@ def row_at_rank(df: DataFrame, first: str, second: str, rank: int) -> tuple[int,
 def before(first: str, second: str, cut: tuple[int, int]) -> Column:
     """Rows in front of the pair `cut`."""
     return (F.col(first) < F.lit(cut[0])) | ((F.col(first) == F.lit(cut[0])) & (F.col(second) < F.lit(cut[1])))
+
+
+def numbered(df: DataFrame, *by: str, name: str = "_number") -> DataFrame:
+    """`df` with the place of each row in the order of `by`, from 0 and without gaps; sorted by ranges, one count per range."""
+    spot = checkpointed(df.orderBy(*by).withColumns({"_spot": F.monotonically_increasing_id(), "_range": F.spark_partition_id()}))
+    counts = sorted((r["_range"], r["count"]) for r in spot.groupBy("_range").count().collect())
+    offsets, total = [], 0
+    for range_, count in counts:
+        offsets.append((range_, total))
+        total += count
+    # One row per range that holds rows.
+    table = df.sparkSession.createDataFrame(offsets, "_range int, _offset long")
+    within = F.col("_spot").bitwiseAND(F.lit((1 << 33) - 1))
+    return spot.join(F.broadcast(table), "_range").withColumn(name, F.col("_offset") + within).drop("_range", "_offset", "_spot")
