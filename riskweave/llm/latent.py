@@ -5,7 +5,7 @@ passages of 32 words are TF-IDF rows over those words; a randomised SVD of all p
 a latent space (two passes of sums by word, added up in Spark). Windows of the documents and items are compared by
 cosine in that space, scaled by the singular values:
 
-* an item of 16 to 64 words with all windows of 32 words, 16 apart;
+* an item of 12 to 64 words with all windows of 32 words, 16 apart;
 * a longer one in parts of about 48 words, each of which may find its place, as one window is little of the whole;
 * a shorter one with windows of its own size, since it is little of a long one. They lie where one of its rarest words
   stands in its place; so many of these are tried that a text with 60 % of the item holds one of them.
@@ -28,7 +28,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,18 +50,20 @@ COSINE = 0.45
 MATCHED = 0.6
 ANSWERED = 0.5
 SHORTEST = 5
-SHORT = 16  # items below this many words are compared with windows of their own size
+SHORT = 12  # items below this many words are compared with windows of their own size
 PART = 48  # words of a part of an item of more than two passages
+CACHED = 16_384  # words whose vectors are handled at once: small enough for a processor's cache
 SLICE = 256  # words per message of partial sums
 LANES = 64
 _CODED = "doc_id long, text_md5 string, numbers binary"
-_MATCHES = "doc_id long, text_md5 string, item int, cosine double, matched double, answered double, first_word long"
+_MATCHES = "doc_id long, text_md5 string, key string, cosine double, matched double, answered double, first_word long"
 
 
 class _Items:
     """A block of benchmark texts as word numbers."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, keys: list[str], texts: list[str]):
+        self.keys = keys
         hashes, offsets = hash_words(texts)
         self.vocabulary = np.unique(hashes)
         numbers = np.searchsorted(self.vocabulary, hashes).astype(np.int64) + 1
@@ -167,23 +170,25 @@ def _row_sums(runs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _range_sums(weights: np.ndarray, basis: np.ndarray, dtype):
     """Per task: the product of (passages transposed) (passages) (basis), in messages of a few words."""
+    weighted = basis * weights[:, None]
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(basis.shape, np.float32)
-        for _, numbers, offsets in _documents(batches, dtype, 200_000):
+        for _, numbers, offsets in _documents(batches, dtype, CACHED):
             place, block, _ = _blocks(numbers, offsets, PASSAGE)
             word = numbers[place].astype(np.int64)
             weight = weights[word]
             kept = weight > 0
             word, block, weight = word[kept], block[kept], weight[kept]
-            group = np.cumsum(np.concatenate(([0], block[1:] != block[:-1]))) if len(block) else block
-            norm = np.bincount(group, weight * weight)
-            _, rows = _row_sums(group, basis[word] * weight[:, None])
-            if not len(rows):
+            if not len(word):
                 continue
+            group = np.cumsum(np.concatenate(([0], block[1:] != block[:-1])))
+            norm = np.bincount(group, weight * weight)
+            _, rows = _row_sums(group, weighted[word])
             rows /= norm[:, None].astype(np.float32)
             order = np.argsort(word, kind="stable")
-            found, sums = _row_sums(word[order], rows[group[order]] * weight[order, None])
-            total[found] += sums
+            found, sums = _row_sums(word[order], rows[group[order]])
+            total[found] += sums * weights[found, None]
         lane = int(np.abs(total[:, 0]).sum() * 1e6) % LANES
         starts = range(0, len(total), SLICE)
         yield pa.RecordBatch.from_arrays(
@@ -246,32 +251,28 @@ class _Confirm:
     def __init__(self, items: _Items, numbers: np.ndarray, offsets: np.ndarray):
         self.items, self.numbers, self.offsets = items, numbers, offsets
         self.best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
-        self.window: tuple[int, int] | None = None
-
-    def _reachable(self, i: int, bag: frozenset) -> bool:
-        """Whether enough words of the item are there at all; no subsequence is longer."""
-        words, own, single = self.items.plain[i]
-        common = own & bag
-        return (len(common) if single else sum(x in common for x in words)) >= MATCHED * len(words)
-
-    def try_(self, doc: int, i: int, at: int, width: int, cosine: float) -> None:
-        """Align item `i` with the words around the window of `width` words that begins at `at`."""
-        if (at, width) != self.window:
-            self.window, self.around = (at, width), {}
+
+    def window(self, doc: int, at: int, width: int, near: Iterable[tuple[int, float]]) -> None:
+        """Try the items (number, cosine) that are near to the window of `width` words at `at`."""
+        plain, around = self.items.plain, {}
+        low, high = int(self.offsets[doc]), int(self.offsets[doc + 1])
+        for i, cosine in near:
+            words, own, repeats, spare, needed, room = plain[i]
+            if room not in around:
+                around[room] = frozenset(self.numbers[max(low, at - room) : min(high, at + width + room)].tolist())
+            # No subsequence is longer than what is there at all, with every occurrence of the item.
+            missing = needed - len(own & around[room])
+            if missing > 0 and (missing > spare or sum(n for x, n in repeats if x in around[room]) < missing):
+                continue
+            self._align(doc, i, at, width, cosine)
+
+    def _align(self, doc: int, i: int, at: int, width: int, cosine: float) -> None:
         low, high = int(self.offsets[doc]), int(self.offsets[doc + 1])
         known = self.best.get((doc, i), (0.0,))
-        words = self.items.plain[i][0]
-        size = len(words)
         if known[0] == 1 and known[1] >= cosine:
             return
-        room = 1 << size.bit_length()  # few different surroundings a window
-        if room not in self.around:
-            self.around[room] = frozenset(self.numbers[max(low, at - room) : min(high, at + width + room)].tolist())
-        if not self._reachable(i, self.around[room]):
-            return
+        words, size = self.items.plain[i][0], len(self.items.words[i])
         region = self.numbers[max(low, at - size) : min(high, at + width + size)].tolist()
-        if not self._reachable(i, frozenset(region)):
-            return
         matched = common_subsequence(words, region) / size
         if matched < MATCHED:
             return
@@ -284,6 +285,13 @@ class _Confirm:
             self.best[doc, i] = new
 
 
+def _plain(words: list[int]) -> tuple:
+    """(words, distinct words, further occurrences of each repeated one, their total, words of a match, words around a window)."""
+    repeats = [(x, n - 1) for x, n in Counter(words).items() if n > 1]
+    # Few different surroundings a window.
+    return words, frozenset(words), repeats, sum(n for _, n in repeats), MATCHED * len(words), 1 << len(words).bit_length()
+
+
 def _own_windows(items: _Items, anchors, asked: np.ndarray, space: np.ndarray, numbers: np.ndarray, offsets: np.ndarray):
     """(document, item, start, cosine) of windows of short items' own sizes that are near to them."""
     first, item, place = anchors
@@ -297,8 +305,11 @@ def _own_windows(items: _Items, anchors, asked: np.ndarray, space: np.ndarray, n
         entry = np.repeat(first[numbers[at]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         doc = np.repeat(np.searchsorted(offsets, at, side="right") - 1, n)
         own, start = item[entry], np.repeat(at, n) - place[entry]
-        # Several anchors of one copy give the same window.
-        doc, own, start = np.unique(np.stack((doc, own, start)), axis=1)
+        # Several anchors of one copy give the same window; it may begin up to an item's length before the document.
+        span = int(np.diff(offsets).max()) + SHORT
+        window = np.unique((doc * len(sizes) + own) * span + start - offsets[doc] + SHORT - 1)
+        doc, own = np.divmod(window // span, len(sizes))
+        start = window % span - (SHORT - 1) + offsets[doc]
         for part in range(0, len(own), 16_384):
             d, i, s = doc[part : part + 16_384], own[part : part + 16_384], start[part : part + 16_384]
             total = np.zeros((len(i), space.shape[1]), np.float32)
@@ -312,14 +323,15 @@ def _own_windows(items: _Items, anchors, asked: np.ndarray, space: np.ndarray, n
 
 def _search(items: _Items, weights: np.ndarray, space: np.ndarray, dtype):
     known, parts = items.parts()
+    owners = np.asarray(known, np.int64)
     asked = _unit(np.stack([space[w].sum(axis=0) for w in parts])).T.copy() if known else None
     anchors = items.anchors(weights)
     whole = _unit(np.stack([space[w].sum(axis=0) for w in items.words]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items.plain = [(w.tolist(), frozenset(w.tolist()), len(set(w.tolist())) == len(w)) for w in items.words]
+        items.plain = [_plain(w.tolist()) for w in items.words]
         live = space.any(axis=1)
-        for ids, numbers, offsets in _documents(batches, dtype, 100_000):
+        for ids, numbers, offsets in _documents(batches, dtype, CACHED):
             confirm = _Confirm(items, numbers, offsets)
             if known:
                 place, block, first = _blocks(numbers, offsets, STRIDE)
@@ -336,16 +348,19 @@ def _search(items: _Items, weights: np.ndarray, space: np.ndarray, dtype):
                 for lo in range(0, len(rows), step):
                     cosine = rows[lo : lo + step] @ asked
                     window, item = np.nonzero(cosine >= COSINE)
-                    for w, k, c in zip((window + lo).tolist(), item.tolist(), cosine[window, item].tolist()):
+                    first_of = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1]))) if len(window) else window
+                    values, numbered = cosine[window, item].tolist(), owners[item].tolist()
+                    for s_, e in zip(first_of.tolist(), np.append(first_of[1:], len(window)).tolist()):
+                        w = int(window[s_]) + lo
                         doc = int(owner[w])
-                        confirm.try_(doc, known[k], int(offsets[doc]) + (w - int(first[doc])) * STRIDE, PASSAGE, c)
+                        confirm.window(doc, int(offsets[doc]) + (w - int(first[doc])) * STRIDE, PASSAGE, zip(numbered[s_:e], values[s_:e]))
             if len(anchors[1]):
                 for doc, i, at, c in _own_windows(items, anchors, whole, space, numbers, offsets):
-                    confirm.try_(doc, i, at, len(items.words[i]), c)
-            rows_out = [(*ids[d], i, c, m, a, p) for (d, i), (m, c, a, p) in sorted(confirm.best.items())]
+                    confirm.window(doc, at, len(items.words[i]), [(i, c)])
+            rows_out = [(*ids[d], items.keys[i], c, m, a, p) for (d, i), (m, c, a, p) in sorted(confirm.best.items())]
             if rows_out:
                 names = [x.split()[0] for x in _MATCHES.split(", ")]
-                types = (pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+                types = (pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows_out), types)], names)
     return find
 
@@ -363,13 +378,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for block in range(blocks):
         rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        part = _block_leaks(docs, _Items([x.text for x in rows]), scratch_path(spark, "coded")) if rows else None
+        part = _block_leaks(docs, _Items([x.key for x in rows], [x.text for x in rows]), scratch_path(spark, "coded")) if rows else None
         if part is not None:
-            keys = spark.createDataFrame([(i, x.key) for i, x in enumerate(rows)], "item int, key string")
-            part = part.join(keys, "item").drop("item")
             found = part if found is None else found.union(part)
     if found is None:
-        found = spark.createDataFrame([], _MATCHES).withColumn("key", F.lit("")).drop("item")
+        found = spark.createDataFrame([], _MATCHES)
     return found.join(items.select("key", "item_id"), "key").select(
         "doc_id", "item_id", "cosine", "matched", "answered", "first_word", "text_md5")
 

@@ -65,7 +65,7 @@ def test_language_equals_brute_force(spark):
     sound = {"en": "the and ing tion er on", "de": "der ung sch ich ein", "fr": "eau é ou le qu"}
     rows = [(i, " ".join(r.choice(sound[lang].split()) + r.choice(sound[lang].split()) for _ in range(r.randrange(1, 60))), lang)
             for i in range(90) for lang in [r.choice(list(sound))]]
-    rows += [(200, None, "en"), (201, "123 !!", "de"), (202, "", None), (203, "étè " * 3000, None), (None, "der und", None)]
+    rows += [(200, None, "en"), (201, "123 !!", "de"), (202, "", None), (203, "étè " * 3000, None), (None, "der und", None), (204, "12 \u0301 34", "en")]
     df = docs(spark, rows)
     got = {(x.doc_id, x.held_out): x for x in langid.identify(df, 40).collect()}
     held = {x.doc_id: x.h for x in df.select("doc_id", (F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0)) == 0).alias("h")).collect()}
@@ -256,7 +256,7 @@ def test_leaks_of_items_of_all_lengths(spark):
     text = lambda n: [words[min(int(r.paretovariate(0.6)) - 1, len(words) - 1)] if r.random() < 0.5 else r.choice(words) for _ in range(n)]
     items, rows = [], [(i, " ".join(text(r.randrange(20, 400)))) for i in range(500)]
     changed = set()
-    for size in (5, 6, 7, 8, 10, 12, 15, 16, 40, 64, 65, 100, 300, 500, 800, 1000):
+    for size in (5, 6, 7, 8, 10, 11, 12, 13, 15, 40, 64, 65, 100, 300, 500, 800, 1000):
         for k in range(12):
             own = text(size)
             items.append((len(items), f"{' '.join(own)}."))
@@ -315,7 +315,7 @@ def plain_spans(text):
             continue
         digit, upper, lower = (re.search(p, s) for p in ("[0-9]", "[A-Z]", "[a-z]"))
         least = (secrets.HEX_BITS if re.fullmatch("[0-9a-f]+|[0-9A-F]+", s) else secrets.MIXED_BITS if digit and upper and lower
-                 else secrets.ONE_CASE_BITS if digit else secrets.LETTER_BITS)
+                 else secrets.ONE_CASE_BITS if digit else secrets.BOTH_CASES_BITS if upper and lower else secrets.LETTER_BITS)
         high = []
         for i in range(len(s) - 19):
             w = s[i : i + 20]
@@ -359,6 +359,14 @@ def test_secrets_equal_brute_force(spark):
     assert secrets.report(docs(spark, [])).count() == 0
 
 
+def test_random_letters_are_found(spark):
+    r = random.Random(15)
+    kinds = {"both": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "one": "abcdefghijklmnopqrstuvwxyz"}
+    rows = [(i * 2 + k, "key is " + "".join(r.choice(x) for _ in range(32)) + " ok", None) for i in range(200) for k, x in enumerate(kinds.values())]
+    found = {x.doc_id: "entropy" in x.spans for x in secrets.report(docs(spark, rows)).collect()}
+    assert all(sum(found[i * 2 + k] for i in range(200)) >= 180 for k in (0, 1))
+
+
 # Licences
 
 def test_licences(spark, data_dir):
