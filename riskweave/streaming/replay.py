@@ -13,9 +13,9 @@ BLOCK_ROWS = 100_000
 
 def _blocks(rows: DataFrame, key: str, max_history: int, block_rows: int, chunks: keyed_chunks.KeyChunks) -> DataFrame:
     """Cut cards into runs of `block_rows` rows, each preceded by the `max_history` rows before it."""
-    rows = chunks.attach(rows).withColumn("_chunk", chunks.chunk_of(F.col("clock_s"))).drop("_t0", "_cell", "_chunks")
+    rows = chunks.attach(rows).withColumn("_chunk", chunks.chunk_of(F.col("clock_s"))).drop(*chunks.COLUMNS)
     in_chunk = Window.partitionBy(key, "_chunk").orderBy("clock_s", "trans_num")
-    # Chunk sizes of hot cards only: at most 2/HOT_SHARE rows, other cards have one chunk and no offset.
+    # Cards with one chunk have no offset.
     sizes = rows.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.sum("_n").over(upto)).filter("_start is not null").drop("_n")
