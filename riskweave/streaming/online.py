@@ -27,11 +27,11 @@ MAX_HISTORY = 100
 IDLE_EXPIRY_MS = 7 * 24 * 3600 * 1000
 COLD_START_GAP_H = 999.0
 WINDOWS_S = (3600, 86400)
+BLOCK = 4096  # rows of a card handled at once
 NO_INPUT_WARNING = "invalid history input, used cold-start online features"
 
-HISTORY_ITEM = T.StructType([
-    T.StructField("unix_time", T.LongType()), T.StructField("amt", T.DoubleType()),
-    T.StructField("lat", T.DoubleType()), T.StructField("long", T.DoubleType())])
+#: The newest rows as doubles: time, amount, latitude, longitude of each.
+PACKED = T.StructType([T.StructField("rows", T.BinaryType())])
 
 ONLINE_COLUMNS = T.StructType([
     T.StructField("txn_count_1h", T.LongType()), T.StructField("txn_count_24h", T.LongType()),
@@ -67,6 +67,32 @@ def online_features(now: int, lat: float, lon: float, past: np.ndarray, digits:
     return (*counts, *sums, cut(km), cut(gap_h), cut(km / max(gap_h, scalar.MIN_GAP_H)))
 
 
+def online_features_of(every: np.ndarray, first: int, max_history: int, digits: int | None = 2) -> dict[str, list | np.ndarray]:
+    """`online_features` of the rows from `first` on, each from up to `max_history` rows before it, as columns."""
+    cut = (lambda v: [round(x, digits) for x in v.tolist()]) if digits is not None else (lambda v: v)
+    rows, width = len(every) - first, min(max_history, max(len(every) - 1, 1))
+    times, amounts = every[:, 0].astype(np.int64), every[:, 1]
+    counts, sums = np.zeros((len(WINDOWS_S), rows), np.int64), np.zeros((len(WINDOWS_S), rows))
+    for lo in range(0, rows, BLOCK):
+        now = np.arange(first + lo, first + min(rows, lo + BLOCK))
+        at = now[:, None] + np.arange(-width, 0)
+        age = times[now][:, None] - times[at]
+        there = (at >= 0) & (age >= 0)
+        held = amounts[at]
+        for w, span in enumerate(WINDOWS_S):
+            inside = there & (age <= span)
+            counts[w, lo : lo + BLOCK] = inside.sum(axis=1)
+            sums[w, lo : lo + BLOCK] = np.where(inside, held, 0.0).sum(axis=1)
+    km, gap = np.zeros(rows), np.full(rows, COLD_START_GAP_H)
+    start = max(first, 1)
+    if start < len(every):
+        places = every[start - 1 :, 2:].tolist()
+        km[start - first :] = [distance_km(*a, *b) for a, b in zip(places, places[1:])]
+        gap[start - first :] = np.maximum((times[start:] - every[start - 1 : -1, 0]) / 3600.0, 0.0)
+    speed = km / np.maximum(gap, scalar.MIN_GAP_H)
+    return dict(zip(ONLINE_COLUMNS.names, (*counts, *map(cut, sums), cut(km), cut(gap), cut(speed))))
+
+
 def amount_behaviour(amounts: np.ndarray, held: tuple[int, float, float]) -> tuple[np.ndarray, tuple[int, float, float]]:
     """(mean, spread and z-score of each amount against the earlier ones, the moments after all of them)."""
     n, mean, m2 = held
@@ -93,27 +119,31 @@ class CardHistory(StatefulProcessor):
         self.amounts = amounts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", HISTORY_ITEM, self.expiry_ms)
+        # One value: entries of a list state cross to the state store one by one.
+        self.history = handle.getValueState("packed_history", PACKED, self.expiry_ms)
         self.moments = handle.getValueState("moments", MOMENTS, self.expiry_ms) if self.amounts else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One card's share of one micro-batch; the source's rate limit bounds it.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["clock_s", "trans_num"], kind="stable")
-        held = np.array([tuple(item) for item in self.history.get()], dtype=float).reshape(-1, 4)
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        if pd.api.types.is_numeric_dtype(batch["trans_num"]):
+            batch = batch.iloc[np.lexsort((batch["trans_num"].to_numpy(), batch["clock_s"].to_numpy()))]
+        else:
+            batch = batch.sort_values(["clock_s", "trans_num"], kind="stable")
+        packed = self.history.get()
+        held = np.frombuffer(packed[0] if packed else b"").reshape(-1, 4)
         # Held rows and new ones in one array: the history of a row is a slice of it.
-        every = np.concatenate((held, batch[["clock_s", "amt", "merch_lat", "merch_long"]].to_numpy(float)))
-        times, first = batch["clock_s"].tolist(), len(held)
-        out = [online_features(int(now), *every[k, 2:].tolist(), every[max(0, k - self.max_history) : k], self.digits)
-               for k, now in enumerate(times, first)]
-        # Rewriting the list gives every entry the same new expiry.
-        self.history.put([(int(r[0]), r[1], r[2], r[3]) for r in every[-self.max_history :].tolist()])
-        parts = [batch[self.columns].reset_index(drop=True), pd.DataFrame(out, columns=ONLINE_COLUMNS.names),
-                 pd.Series(np.arange(first, len(every)) == 0, name="cold_start")]
+        every = np.concatenate((held, np.stack([batch[c].to_numpy(float) for c in ("clock_s", "amt", "merch_lat", "merch_long")], axis=1)))
+        first = len(held)
+        # Rewriting the value gives every entry the same new expiry.
+        self.history.update((every[-self.max_history :].tobytes(),))
+        columns = {c: batch[c].array for c in self.columns} | online_features_of(every, first, self.max_history, self.digits)
         if self.amounts:
             behaviour, moments = amount_behaviour(every[first:, 1], tuple(self.moments.get()) if self.moments.exists() else (0, 0.0, 0.0))
             self.moments.update(moments)
-            parts.insert(2, pd.DataFrame(behaviour, columns=AMOUNT_COLUMNS.names))
-        yield pd.concat(parts, axis=1)
+            columns |= dict(zip(AMOUNT_COLUMNS.names, behaviour.T))
+        yield pd.DataFrame(columns | {"cold_start": np.arange(first, len(every)) == 0})
 
     def close(self) -> None:
         pass

@@ -1,6 +1,9 @@
 """The stream against the batch replay, and the rules of the online state."""
 
+import sys
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +164,37 @@ def test_idle_cards_expire(spark, transactions):
     # Longer than the expiry without a write: the whole list is gone.
     after = step(10, 19)
     assert [after[i] for i in range(10, 20)].count(True) == 1 and after[10]
+
+
+def test_a_batch_of_a_card_equals_its_rows_one_by_one(monkeypatch):
+    monkeypatch.setattr(online, "BLOCK", 7)
+    r = np.random.default_rng(5)
+    every = np.stack([r.integers(0, 200_000, 60), np.round(r.random(60) * 100, 2), r.random(60), r.random(60)], axis=1).astype(float)
+    for first, most in ((0, 100), (0, 1), (13, 10), (59, 100), (60, 5)):
+        for digits in (None, 2):
+            found = online.online_features_of(every, first, most, digits)
+            for k in range(first, 60):
+                one = online.online_features(int(every[k, 0]), *every[k, 2:].tolist(), every[max(0, k - most) : k], digits)
+                assert [v[k - first] for v in found.values()] == pytest.approx(list(one), rel=1e-12)
+
+
+def test_a_card_of_a_batch_takes_under_two_thousand_calls():
+    """Work per row in Python made the job's time; a batch of a card is handled by columns."""
+    class Held:
+        def get(self):
+            return None
+
+        def update(self, value):
+            self.rows = np.frombuffer(value[0]).reshape(-1, 4)
+    card, calls = online.CardHistory(["trans_num", "clock_s"], digits=None), []
+    card.history = Held()
+    n = 400
+    batch = pd.DataFrame({"trans_num": np.arange(n)[::-1], "clock_s": np.arange(n) // 3, "amt": 1.0, "merch_lat": 2.0, "merch_long": 3.0})
+    sys.setprofile(lambda frame, event, _: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        (out,) = card.handleInputRows(("c",), iter([batch]), None)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 2000 and len(card.history.rows) == online.MAX_HISTORY
+    assert out["clock_s"].is_monotonic_increasing and out["cold_start"].tolist() == [True] + [False] * (n - 1)
+    assert out["txn_count_1h"].tolist() == [min(k, 100) for k in range(n)]
