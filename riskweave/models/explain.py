@@ -13,7 +13,7 @@ Leaves with equally many features on their paths are computed together, for a ba
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,8 @@ from riskweave.models.boosting import Booster
 from riskweave.models.trees import Matrix
 from riskweave.session import ship_package
 
-CELLS = 1_000_000  # numbers (rows x leaves x features on a path) handled at once
+CELLS = 1_000_000  # numbers (rows or patterns x leaves x features on a path) handled at once
+ROWS = 50_000  # rows that share the work that is done once for a pattern
 
 
 @dataclass
@@ -65,33 +66,87 @@ def read_leaves(model: Booster) -> tuple[list[Leaves], float]:
     return out, base
 
 
+def _contributions(ok: np.ndarray, group: Leaves, chosen: slice) -> np.ndarray:
+    """Contributions of features, given which of them satisfy the paths, both as (rows, leaves, features on the path)."""
+    share, value = group.share[chosen], group.value[chosen]
+    points, weights = np.polynomial.legendre.leggauss(-(-share.shape[1] // 2))
+    total = np.zeros(ok.shape)
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factor = share * (1 - t) + ok * t
+        total += w * factor.prod(axis=2, keepdims=True) / factor
+    return total * (ok - share) * value[:, None]
+
+
+def _satisfied(x: np.ndarray, leaves: Sequence[Leaves]):
+    """Function of (feature, low, high, missing) that tells which rows satisfy that part of a path; works on codes between the bounds of all paths."""
+    codes, bounds, missing_rows = [], [], []
+    for f in range(x.shape[1]):
+        ends = np.unique(np.concatenate([side[g.features == f] for g in leaves for side in (g.low, g.high)] + [[-np.inf, np.inf]]))
+        # A value in (ends[i], ends[i + 1]] has code i; nothing else is asked of it.
+        codes.append((np.searchsorted(ends, x[:, f], side="left") - 1).astype(np.min_scalar_type(len(ends))))
+        bounds.append({end: i for i, end in enumerate(ends.tolist())})
+        missing = np.isnan(x[:, f])
+        missing_rows.append(missing if missing.any() else None)
+
+    def run(f: int, low: float, high: float, missing: bool) -> np.ndarray:
+        ok = codes[f] < bounds[f][high]
+        if low > -np.inf:
+            ok &= codes[f] >= bounds[f][low]
+        if missing_rows[f] is not None:
+            ok[missing_rows[f]] = missing
+        return ok
+    return run
+
+
 def attribute(x: np.ndarray, leaves: Sequence[Leaves]) -> np.ndarray:
-    """Contribution of each feature to each row's log-odds; NaN is a missing value."""
-    out = np.zeros(x.shape)
+    """Contribution of each feature to each row's log-odds; NaN is a missing value.
+
+    A leaf's contributions depend only on which of its features satisfy the path. Where there are fewer such patterns than
+    rows, they are computed once for each pattern and looked up.
+    """
+    out = np.zeros(x.shape[::-1])
+    satisfied = _satisfied(x, leaves)
     for group in leaves:
-        size = group.features.shape[1]
-        points, weights = np.polynomial.legendre.leggauss(-(-size // 2))
-        order = np.argsort(group.features, axis=None, kind="stable")
-        names = group.features.ravel()[order]
-        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-        step = max(1, CELLS // group.features.size)
-        for lo in range(0, len(x), step):
-            value = x[lo : lo + step, group.features]
-            ok = np.where(np.isnan(value), group.missing, (value > group.low) & (value <= group.high)).astype(float)
-            total = np.zeros(ok.shape)
-            for t, w in zip((points + 1) / 2, weights / 2):
-                factor = group.share * (1 - t) + ok * t
-                total += w * factor.prod(axis=2, keepdims=True) / factor
-            total *= (ok - group.share) * group.value[:, None]
-            out[lo : lo + step, names[first]] += np.add.reduceat(total.reshape(len(total), -1)[:, order], first, axis=1)
-    return out
+        count, size = group.features.shape
+        if 1 << size > len(x):
+            step = max(1, CELLS // (len(x) * size)) if len(x) else count
+            for lo in range(0, count, step):
+                chosen = slice(lo, lo + step)
+                value = x[:, group.features[chosen]]
+                ok = np.where(np.isnan(value), group.missing[chosen], (value > group.low[chosen]) & (value <= group.high[chosen])).astype(float)
+                found = _contributions(ok, group, chosen)
+                for i, k in np.ndindex(found.shape[1:]):
+                    out[group.features[lo + i, k]] += found[:, i, k]
+            continue
+        kind = np.uint16 if size <= 16 else np.int64
+        patterns = ((np.arange(1 << size)[:, None] >> np.arange(size)) & 1).astype(float)[:, None, :]
+        step = max(1, CELLS // (patterns.size))
+        for lo in range(0, count, step):
+            names = group.features[lo : lo + step]
+            table = np.ascontiguousarray(_contributions(np.broadcast_to(patterns, (1 << size, len(names), size)), group, slice(lo, lo + step)).transpose(1, 2, 0))
+            paths = zip(names.tolist(), group.low[lo : lo + step].tolist(), group.high[lo : lo + step].tolist(), group.missing[lo : lo + step].tolist())
+            for i, path in enumerate(paths):
+                place = np.zeros(len(x), kind)
+                for k, part in enumerate(zip(*path)):
+                    place += satisfied(*part) * kind(1 << k)
+                place = place.astype(np.intp)
+                for k, f in enumerate(path[0]):
+                    out[f] += table[i, k].take(place)
+    return out.T
 
 
 def attribution_udf(leaves: list[Leaves]):
     """Vectorised function from a row's feature values to its attributions, both arrays in layout order."""
     @F.pandas_udf("array<double>")
-    def run(values: pd.Series) -> pd.Series:
-        return pd.Series(list(attribute(np.array(values.tolist(), dtype=float), leaves))) if len(values) else pd.Series([], dtype=object)
+    def run(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held, rows = [], 0
+        for part in values:
+            held += part.tolist()
+            if len(held) >= ROWS:
+                yield pd.Series(list(attribute(np.array(held, dtype=float), leaves)))
+                held = []
+        if held:
+            yield pd.Series(list(attribute(np.array(held, dtype=float), leaves)))
     return run
 
 
