@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.models import boosting, explain, trees, tuning
 from riskweave.plans import training
-from riskweave.operators import splits
+from riskweave.operators import ranking, splits
 from riskweave.sources import runs, sinks
 
 SMALL = {"trees": 3, "max_depth": 3, "learning_rate": 0.3}
@@ -220,6 +220,20 @@ def test_timeout_keeps_the_first_round(fitted):
     assert again[:2] == history and len(again) == 3
 
 
+def test_trials_share_rows_and_cuts(spark, fitted, monkeypatch):
+    # Each trial wrote the rows and looked for cuts again.
+    engineered, matrix, _ = fitted
+    fit, val = splits.take_fold(engineered, "fit"), splits.take_fold(engineered, "val")
+    calls, plain = [], boosting.Prepared.of
+    monkeypatch.setattr(boosting.Prepared, "of", lambda rows, features: (calls.append(features), plain(rows, features))[1])
+    space = {**tuning.SEARCH_SPACE, "trees": (2, 3, "int")}
+    _, history = tuning.search(fit, val, matrix, trials=3, space=space, at_once=3, weight=7.0)
+    assert calls == [len(matrix.columns)] and len(history) == 3
+    alone = trees.fit_trees(fit, matrix, weight=7.0, **history[1]["params"])
+    want = ranking.average_precision(trees.score(alone, matrix, val, ["is_fraud"]), label="is_fraud").first()[0]
+    assert history[1]["pr_auc"] == pytest.approx(want, abs=1e-12)
+
+
 def test_refit_with_validation_rows(transactions):
     trained = training.train(transactions, {"trees": 2, "max_depth": 2, "learning_rate": 0.3}, calibration_method="sigmoid",
                              refit_with_validation=True)
