@@ -13,6 +13,7 @@ Leaves with equally many features on their paths are computed together, for a ba
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +26,9 @@ from riskweave.models.trees import Matrix
 from riskweave.session import ship_package
 
 CELLS = 1_000_000  # numbers (rows or patterns x leaves x features on a path) handled at once
-ROWS = 50_000  # rows that share the work that is done once for a pattern
+ROWS = 50_000  # rows that share the work that is done once for a pattern, at least; twice as many at most
+CELL_ROWS = 8  # rows to a cell, at least, of leaves that are looked up together
+BLOCK = 8_192  # rows looked up at a time
 
 
 @dataclass
@@ -77,35 +80,76 @@ def _contributions(ok: np.ndarray, group: Leaves, chosen: slice) -> np.ndarray:
     return total * (ok - share) * value[:, None]
 
 
-def _satisfied(x: np.ndarray, leaves: Sequence[Leaves]):
-    """Function of (feature, low, high, missing) that tells which rows satisfy that part of a path; works on codes between the bounds of all paths."""
-    codes, bounds, missing_rows = [], [], []
-    for f in range(x.shape[1]):
-        ends = np.unique(np.concatenate([side[g.features == f] for g in leaves for side in (g.low, g.high)] + [[-np.inf, np.inf]]))
-        # A value in (ends[i], ends[i + 1]] has code i; nothing else is asked of it.
-        codes.append((np.searchsorted(ends, x[:, f], side="left") - 1).astype(np.min_scalar_type(len(ends))))
-        bounds.append({end: i for i, end in enumerate(ends.tolist())})
-        missing = np.isnan(x[:, f])
-        missing_rows.append(missing if missing.any() else None)
-
-    def run(f: int, low: float, high: float, missing: bool) -> np.ndarray:
-        ok = codes[f] < bounds[f][high]
-        if low > -np.inf:
-            ok &= codes[f] >= bounds[f][low]
-        if missing_rows[f] is not None:
-            ok[missing_rows[f]] = missing
-        return ok
-    return run
+class _Codes:
+    """Rows by the place of each feature's value between the bounds of all paths, a missing value behind the last place."""
+
+    def __init__(self, x: np.ndarray, leaves: Sequence[Leaves]):
+        self.ends, self.of = [], []
+        for f in range(x.shape[1]):
+            ends = np.unique(np.concatenate([side[g.features == f] for g in leaves for side in (g.low, g.high)] + [[-np.inf, np.inf]]))
+            # A value in (ends[i], ends[i + 1]] has place i; nothing else is asked of it.
+            self.of.append(np.where(np.isnan(x[:, f]), len(ends) - 1, np.searchsorted(ends, x[:, f], side="left") - 1))
+            self.ends.append({end: i for i, end in enumerate(ends.tolist())})
+
+    def satisfying(self, f: int, low: float, high: float, missing: bool) -> tuple[int, int, bool]:
+        """The places of the feature that satisfy that part of a path: from, up to, and whether the last one does."""
+        return self.ends[f][low], self.ends[f][high], missing
+
+
+class _Bundle:
+    """Leaves whose paths are looked up together: the cells are what combinations of their features' values can satisfy."""
+
+    def __init__(self):
+        self.leaves: list[int] = []
+        self.marks: dict[int, list[int]] = {}  # by feature: for each place of a value, the leaves it satisfies, as bits
+        self.states: dict[int, int] = {}
+
+    def took(self, leaf: int, parts: dict[int, tuple[int, int, bool]], places: Sequence[dict], most: int) -> bool:
+        """Adds a leaf unless there would be more than `most` cells."""
+        marks, bit, cells = {}, 1 << len(self.leaves), math.prod(n for f, n in self.states.items() if f not in parts)
+        for f, (low, high, missing) in parts.items():
+            marks[f] = own = self.marks[f].copy() if f in self.marks else [0] * len(places[f])
+            for at in range(low, high):
+                own[at] |= bit
+            # The last place is that of missing values; no range ends behind it.
+            if missing:
+                own[-1] |= bit
+            cells *= len(set(own))
+        if self.leaves and cells > most:
+            return False
+        self.leaves.append(leaf)
+        self.marks |= marks
+        self.states |= {f: len(set(own)) for f, own in marks.items()}
+        return True
+
+    def table(self, names: np.ndarray, tables: np.ndarray) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+        """For each feature its places' steps in the cells, and contributions as (feature, cell), from tables as (leaf, feature on the path, pattern)."""
+        shape, steps, found, step = [*self.states.values()], [], {}, math.prod(self.states.values())
+        for at, (f, own) in enumerate(self.marks.items()):
+            state = {mark: i for i, mark in enumerate(dict.fromkeys(own))}
+            step //= len(state)
+            steps.append((f, np.array([state[mark] * step for mark in own])))
+            found[f] = at, [*state], [-1 if k == at else 1 for k in range(len(shape))]
+        out = np.zeros((len(shape), *shape))
+        for bit, leaf in enumerate(self.leaves):
+            place, path = 0, names[leaf].tolist()
+            for k, f in enumerate(path):
+                at, own, axis = found[f]
+                place = place + np.array([(mark >> bit & 1) << k for mark in own]).reshape(axis)
+            for k, f in enumerate(path):
+                out[found[f][0]] += tables[leaf, k].take(place)
+        return steps, out.reshape(len(shape), -1)
 
 
 def attribute(x: np.ndarray, leaves: Sequence[Leaves]) -> np.ndarray:
     """Contribution of each feature to each row's log-odds; NaN is a missing value.
 
     A leaf's contributions depend only on which of its features satisfy the path. Where there are fewer such patterns than
-    rows, they are computed once for each pattern and looked up.
+    rows, they are computed once for each pattern and looked up. Neighbouring leaves share most of their paths, so they are
+    added up in one table and looked up together.
     """
     out = np.zeros(x.shape[::-1])
-    satisfied = _satisfied(x, leaves)
+    codes = _Codes(x, leaves)
     for group in leaves:
         count, size = group.features.shape
         if 1 << size > len(x):
@@ -118,20 +162,27 @@ def attribute(x: np.ndarray, leaves: Sequence[Leaves]) -> np.ndarray:
                 for i, k in np.ndindex(found.shape[1:]):
                     out[group.features[lo + i, k]] += found[:, i, k]
             continue
-        kind = np.uint16 if size <= 16 else np.int64
         patterns = ((np.arange(1 << size)[:, None] >> np.arange(size)) & 1).astype(float)[:, None, :]
         step = max(1, CELLS // (patterns.size))
         for lo in range(0, count, step):
             names = group.features[lo : lo + step]
-            table = np.ascontiguousarray(_contributions(np.broadcast_to(patterns, (1 << size, len(names), size)), group, slice(lo, lo + step)).transpose(1, 2, 0))
+            tables = np.ascontiguousarray(_contributions(np.broadcast_to(patterns, (1 << size, len(names), size)), group, slice(lo, lo + step)).transpose(1, 2, 0))
             paths = zip(names.tolist(), group.low[lo : lo + step].tolist(), group.high[lo : lo + step].tolist(), group.missing[lo : lo + step].tolist())
+            bundles = [_Bundle()]
             for i, path in enumerate(paths):
-                place = np.zeros(len(x), kind)
-                for k, part in enumerate(zip(*path)):
-                    place += satisfied(*part) * kind(1 << k)
-                place = place.astype(np.intp)
-                for k, f in enumerate(path[0]):
-                    out[f] += table[i, k].take(place)
+                parts = {part[0]: codes.satisfying(*part) for part in zip(*path)}
+                if not bundles[-1].took(i, parts, codes.ends, len(x) // CELL_ROWS):
+                    bundles.append(_Bundle())
+                    bundles[-1].took(i, parts, codes.ends, 0)
+            bundles = [bundle.table(names, tables) for bundle in bundles]
+            # What a block of rows needs stays in the cache. Places are within the tables; "clip" spares a copy that guards against others.
+            for start in range(0, len(x), BLOCK):
+                rows = slice(start, start + BLOCK)
+                of, to = [c[rows] for c in codes.of], out[:, rows]
+                for steps, table in bundles:
+                    place = sum(values.take(of[f], mode="clip") for f, values in steps)
+                    for (f, _), values in zip(steps, table):
+                        to[f] += values.take(place, mode="clip")
     return out.T
 
 
@@ -139,12 +190,13 @@ def attribution_udf(leaves: list[Leaves]):
     """Vectorised function from a row's feature values to its attributions, both arrays in layout order."""
     @F.pandas_udf("array<double>")
     def run(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        held, rows = [], 0
+        held = []
         for part in values:
             held += part.tolist()
-            if len(held) >= ROWS:
-                yield pd.Series(list(attribute(np.array(held, dtype=float), leaves)))
-                held = []
+            # No few rows are left for the end, which would take the same work for a pattern.
+            while len(held) >= 2 * ROWS:
+                yield pd.Series(list(attribute(np.array(held[:ROWS], dtype=float), leaves)))
+                held = held[ROWS:]
         if held:
             yield pd.Series(list(attribute(np.array(held, dtype=float), leaves)))
     return run

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from riskweave.operators.ordered import ROWS_PER_TASK, exact_quantiles
 
@@ -95,11 +97,17 @@ def fit_calibrator(scored: DataFrame, method: str = "auto", label: str = "y", sc
     """Fit one method, or both and keep the lower Brier score (isotonic wins a tie)."""
     if method != "auto" and method not in FITS:
         raise ValueError(f"unknown calibration method: {method!r}")
-    best, best_metrics = None, None
-    before = brier_log_loss(scored, label, score).first()
-    for name in (FITS if method == "auto" else [method]):
+    inherits = inheritable_thread_target(scored.sparkSession)
+
+    def tried(name: str) -> tuple[Calibrator, Row]:
         candidate = FITS[name](scored, label, score)
-        after = brier_log_loss(candidate.transform(scored, score), label, "p_cal").first()
+        return candidate, brier_log_loss(candidate.transform(scored, score), label, "p_cal").first()
+    best, best_metrics = None, None
+    with ThreadPoolExecutor(1 + len(FITS)) as pool:
+        unfitted = pool.submit(inherits(lambda: brier_log_loss(scored, label, score).first()))
+        found = list(pool.map(inherits(tried), FITS if method == "auto" else [method]))
+        before = unfitted.result()
+    for candidate, after in found:
         metrics = {"brier_before": before["brier"], "brier_after": after["brier"],
                    "log_loss_before": before["log_loss"], "log_loss_after": after["log_loss"]}
         if best is None or metrics["brier_after"] < best_metrics["brier_after"]:
