@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +67,15 @@ def test_reliability_bins(scores):
 def test_log_loss_clips(spark):
     row = calibration.brier_log_loss(spark.createDataFrame([(1, 0.0), (0, 0.5)], "y int, p double")).first()
     assert row["log_loss"] == pytest.approx((-np.log(calibration.EPSILON) - np.log(0.5)) / 2)
+
+
+def test_methods_are_tried_at_a_time(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    rows = [(float(p), int(r.random() < p * p)) for p in np.round(r.random(500), 2)]
+    scored = spark.createDataFrame(rows, "p double, y int").cache()
+    alone = {name: calibration.fit_calibrator(scored, name) for name in calibration.FITS}
+    together = threading.Barrier(2)
+    monkeypatch.setattr(calibration, "FITS", {name: lambda *a, f=f: (together.wait(60), f(*a))[1] for name, f in calibration.FITS.items()})
+    chosen, metrics = calibration.fit_calibrator(scored)
+    want = min(alone, key=lambda name: alone[name][1]["brier_after"])
+    assert chosen.method == want and metrics == pytest.approx(alone[want][1])

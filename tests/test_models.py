@@ -6,6 +6,7 @@ import random
 import statistics
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,35 @@ def test_attributions_of_many_rows_take_patterns_not_rows(spark, monkeypatch):
     assert explain.attribute(x[:0], leaves).shape == (0, 6)
 
 
+def test_neighbouring_leaves_are_looked_up_together(monkeypatch):
+    """Leaves of paths with two-sided bounds and missing values, against the definition row by row."""
+    r = np.random.default_rng(9)
+    x = np.round(r.normal(size=(3000, 4)), 2)
+    x[r.random(x.shape) < 0.1] = np.nan
+    cuts = [-np.inf, -0.5, 0.25, 1.0, np.inf]
+    paths = [(i, j, k) for i in range(4) for j in range(4) for k in range(2)]
+    low = np.array([[cuts[i], cuts[j], cuts[2 * k]] for i, j, k in paths])
+    high = np.array([[cuts[i + 1], cuts[j + 1], cuts[2 * k + 2]] for i, j, k in paths])
+    missing = np.array([[i == 1, j == 3, k == 0] for i, j, k in paths])
+    group = explain.Leaves(np.tile([0, 2, 3], (len(paths), 1)), low, high, missing, r.uniform(0.1, 0.9, low.shape), r.normal(size=len(paths)))
+    few = np.vstack([explain.attribute(x[i : i + 1], [group]) for i in range(200)])
+    tables, plain = [], explain._Bundle.table
+    monkeypatch.setattr(explain._Bundle, "table", lambda self, *a: tables.append(len(self.leaves)) or plain(self, *a))
+    assert explain.attribute(x, [group])[:200] == pytest.approx(few, abs=1e-12)
+    assert sum(tables) == len(paths) and len(tables) <= len(paths) // 8
+
+
+def test_no_few_rows_are_left_for_the_end(monkeypatch):
+    # Patterns are worked out anew for every call, however few rows it has.
+    sizes = []
+    monkeypatch.setattr(explain, "ROWS", 100)
+    monkeypatch.setattr(explain, "attribute", lambda x, leaves: sizes.append(len(x)) or x)
+    rows = [float(i) for i in range(520)]
+    parts = [pd.Series([np.array([v]) for v in rows[lo : lo + 70]]) for lo in range(0, 520, 70)]
+    got = [v[0] for part in explain.attribution_udf([]).func(iter(parts)) for v in part]
+    assert got == rows and min(sizes) >= 100 and max(sizes) < 200
+
+
 def test_reasons_are_ordered(fitted):
     engineered, matrix, model = fitted
     rows = explain.reasons(model, matrix, engineered.limit(20), top=4).collect()
